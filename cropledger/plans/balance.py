@@ -60,13 +60,13 @@ def exports(m: ModelInputs) -> DataFrame:
 
 
 def production(m: ModelInputs) -> DataFrame:
-    made = [m.native_level(t, BRANCH).where(F.col("Units") == "Mt") for t in ("Agprod", "MeatProd")]
-    return union_all(
+    made = union_all(
         [
-            series_sum(df, "branch", "region", F.lower("sector").alias("sector"), F.lit("Production").alias("element"))
-            for df in made
+            m.native_level(t, BRANCH).where(F.col("Units") == "Mt").select(*[c for c in KEYS if c != "sector"], F.lower("sector").alias("sector"), "value", F.lit(t).alias("made_in"))
+            for t in ("Agprod", "MeatProd")
         ]
-    ).select(*ROW)
+    )
+    return series_sum(made, "branch", "region", "sector", F.lit("Production").alias("element"), "made_in").select(*ROW)
 
 
 def supply_use(m: ModelInputs) -> DataFrame:
@@ -85,13 +85,16 @@ def area_and_yield(m: ModelInputs) -> DataFrame:
     return pivot_longer(rates.drop("element", "Production"), ["Area", "Yield"], "element", "value").select(*ROW)
 
 
-def price_and_revenue(m: ModelInputs) -> DataFrame:
-    """Price and revenue of everything produced; a product without a price fails."""
+def priced_production(m: ModelInputs) -> DataFrame:
+    """Production, price and revenue of everything produced; a product without a price fails."""
     prices = union_all([m.native_level(t, BRANCH).select(*KEYS, "value") for t in ("Agprices", "Meatprices")])
     prices = prices.withColumn("sector", F.lower("sector")).withColumnRenamed("value", "Price")
     made = production(m).withColumnRenamed("value", "Production").drop("element")
-    priced = strict_natural_lookup(made, prices, what="prices").withColumn("Revenue", F.col("Production") * F.col("Price"))
-    return pivot_longer(priced.drop("Production"), ["Revenue", "Price"], "element", "value").select(*ROW)
+    return strict_natural_lookup(made, prices, what="prices").withColumn("Revenue", F.col("Production") * F.col("Price"))
+
+
+def price_and_revenue(m: ModelInputs) -> DataFrame:
+    return pivot_longer(priced_production(m).drop("Production"), ["Revenue", "Price"], "element", "value").select(*ROW)
 
 
 def full_balance(m: ModelInputs) -> DataFrame:
@@ -100,13 +103,13 @@ def full_balance(m: ModelInputs) -> DataFrame:
 
 def _report_elements(m: ModelInputs) -> DataFrame:
     """The reported elements of the balance only: area, yield, price and stocks are not computed."""
-    revenue = price_and_revenue(m).where(F.col("element") == "Revenue")
-    return union_all([demand(m), imports(m), exports(m), production(m), revenue]).where(F.col("element").isin(REPORTED))
+    made = pivot_longer(priced_production(m).drop("Price"), ["Production", "Revenue"], "element", "value").select(*ROW)
+    return union_all([demand(m), imports(m), exports(m), made]).where(F.col("element").isin(REPORTED))
 
 
 def items(m: ModelInputs) -> DataFrame:
     """One row per scenario, report code, item and year with the reported elements and net trade as columns."""
-    rows = m.code_of(_report_elements(m), "region")
+    rows = m.code_of(_report_elements(m))
     cells = [
         F.coalesce(strict_sum_where(F.col("element") == e, "value"), F.lit(0.0)).alias(e) for e in REPORTED
     ]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.functions.units import deflate
-from cropledger.operators.access import FIRST_YEAR, LAST_YEAR, in_years, pluck
+from cropledger.operators.access import FIRST_YEAR, LAST_YEAR, in_years, pluck, to_report_region
 from cropledger.operators.lookup import strict_lookup
 from cropledger.sources.dims import Dimensions
 
@@ -44,9 +44,9 @@ class ModelInputs:
     def money(self, value: Column, to_year: int, base_year: int) -> Column:
         return deflate(value, self.price_levels, to_year, base_year)
 
-    def code_of(self, df: DataFrame, region: str = "region", into: str = "Region") -> DataFrame:
-        """Attach the report code of a native region."""
-        return strict_lookup(df, self.dims.regions, {region: "region"}, {into: "code"}, unique=True, what="regions")
+    def code_of(self, df: DataFrame) -> DataFrame:
+        """Attach the report code of a native ``region`` as ``Region``; the native one stays as ``region0``."""
+        return to_report_region(df, self.dims.regions).withColumnRenamed("region", "Region")
 
     def code_of_id(self, df: DataFrame, region_id: str = "region_id") -> DataFrame:
         named = strict_lookup(df, self.dims.region_ids, {region_id: "region_id"}, {"region": "region"}, unique=True, what="region ids")
