@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,9 +20,15 @@ def rounded_breaks(low: Column, high: Column, n: int) -> Column:
     return F.array_distinct(F.array(*points))
 
 
-def right_closed_label(value: Column, breaks: Column) -> Column:
+def class_index(value: Column, breaks: Column, n: int) -> Column:
+    """Number of break points below a value; ``breaks`` holds at most n + 1."""
+    below = [F.coalesce((F.get(breaks, F.lit(k)) < value).cast("int"), F.lit(0)) for k in range(n + 1)]
+    return reduce(lambda a, b: a + b, below)
+
+
+def right_closed_label(value: Column, breaks: Column, n: int) -> Column:
     """``(a,b]`` interval of a value; at or below the first break, or above the last, there is none."""
-    at = F.size(F.filter(breaks, lambda b: b < value))
+    at = class_index(value, breaks, n)
     upper = F.get(breaks, at)
     lower = F.get(breaks, at - 1)
     text = F.concat(F.lit("("), _short(lower), F.lit(","), _short(upper), F.lit("]"))

@@ -142,4 +142,4 @@ def basin_map(df: DataFrame, grid: DataFrame, facet: str | None = None, breaks:
     if breaks is None:
         return full
     edges = full.agg(rounded_breaks(F.min("value"), F.max("value"), breaks)).scalar()
-    return full.withColumn("value", right_closed_label(F.col("value"), edges))
+    return full.withColumn("__edges", edges).withColumn("value", right_closed_label(F.col("value"), F.col("__edges"), breaks)).drop("__edges")

@@ -55,7 +55,7 @@ def read_auxiliary(
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    raw = spark.read.option("header", "true").csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+    raw = spark.read.option("header", "true").csv(path) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
     columns = columns or {}
     return raw.select(*[F.col(f"`{columns.get(f.name, f.name)}`").cast(f.dataType).alias(f.name) for f in schema])
 

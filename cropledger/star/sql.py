@@ -383,7 +383,7 @@ def with_fragments(select: str) -> str:
     if not order:
         return select
     ctes = ", ".join(f"{name} AS ({FRAGMENTS[name]})" for name in order)
-    return f"WITH {ctes} {select}"
+    return f"WITH {ctes}, {select[5:]}" if select.startswith("WITH ") else f"WITH {ctes} {select}"
 
 
 def report_select(fragment: str) -> str:
