@@ -26,8 +26,8 @@ def _key_map(on: Keys) -> dict[str, str]:
     return dict(on) if isinstance(on, Mapping) else {k: k for k in on}
 
 
-def _shown(columns: Sequence[Column]) -> Column:
-    return F.concat_ws(", ", *[F.coalesce(c.cast("string"), F.lit("NULL")) for c in columns])
+def _shown(columns: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
 def guard(df: DataFrame, broken: Column, message: Column) -> DataFrame:
@@ -38,7 +38,7 @@ def guard(df: DataFrame, broken: Column, message: Column) -> DataFrame:
 def unique_rows(df: DataFrame, keys: Sequence[str], take: Sequence[str], what: str) -> DataFrame:
     """One row per key; fails on a key that occurs twice."""
     counted = df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in take], F.count(F.lit(1)).alias(_COPIES))
-    message = F.concat(F.lit(f"{what} has a repeated key: "), _shown([F.col(k) for k in keys]))
+    message = F.concat(F.lit(f"{what} has a repeated key: "), _shown(keys))
     return guard(counted, F.col(_COPIES) > 1, message).drop(_COPIES)
 
 
@@ -73,7 +73,7 @@ def strict_lookup(
     right = _right_side(dim, on, take, unique, what).withColumn(_HIT, F.lit(True))
     joined = df.join(right, list(on), "left")
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in (_HIT, *take)])
-    message = F.concat(F.lit(f"no match in {what} for "), _shown([F.col(k) for k in on]))
+    message = F.concat(F.lit(f"no match in {what} for "), _shown(list(on)))
     return guard(joined, missing, message).drop(_HIT)
 
 

@@ -44,55 +44,57 @@ def sum_all_but(df: DataFrame, *left_out: str, value: str = "Value") -> DataFram
     return grouped_sum(df, [c for c in df.columns if c != value and c not in left_out], value)
 
 
+Total = tuple[str | None, Mapping[str, str]]
+
+
+def _target(own: bool, swapped: Sequence[str], labels: Mapping[str, str]) -> str:
+    fields = [f"{str(own).lower()} AS {_OWN}"]
+    fields += [f"{_quoted(labels[d])} AS `{d}`" if d in labels else f"`{d}`" for d in swapped]
+    return f"struct({', '.join(fields)})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def members(column: str, values: Sequence[str]) -> str:
+    """SQL condition for membership in a short list."""
+    return f"`{column}` IN ({', '.join(_quoted(v) for v in values)})"
+
+
 def fan_out_totals(
-    df: DataFrame,
-    totals: Sequence[tuple[Column | None, Mapping[str, Column | str]]],
-    measures: Mapping[str, Column],
-    *,
-    keep: Sequence[str] | None = None,
+    df: DataFrame, totals: Sequence[Total], measures: Mapping[str, Column], *, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Append totals to a table that has one row per key.
 
-    Each total is (rows it takes or None for all, {dimension: label it overwrites}). ``measures``
-    gives the aggregate of each summed column. Own rows pass through unchanged; a second own row for
-    a key fails the job. ``keep`` names the measure columns that stay in the result.
+    Each total is (SQL condition for the rows it takes, or None for all, {dimension: label it overwrites}).
+    ``measures`` gives the aggregate of each summed column. Own rows pass through unchanged; a second own
+    row for a key fails the job. ``keep`` names the measure columns that stay in the result.
     """
     kept = list(measures) if keep is None else list(keep)
     swapped = sorted({d for _, labels in totals for d in labels})
-    keys = [c for c in df.columns if c not in measures]
+    columns = df.columns
+    keys = [c for c in columns if c not in measures]
 
-    def target(own: bool, labels: Mapping[str, Column | str]) -> Column:
-        fields = [F.lit(own).alias(_OWN)]
-        for d in swapped:
-            new = labels.get(d, F.col(d))
-            fields.append((F.lit(new) if isinstance(new, str) else new).cast(df.schema[d].dataType).alias(d))
-        return F.struct(*fields)
-
-    targets = [target(True, {})]
+    targets = [_target(True, swapped, {})]
     for condition, labels in totals:
-        to = target(False, labels)
-        targets.append(to if condition is None else F.when(condition, to))
-
-    spread = df.withColumn(_TO, F.explode(F.array(*targets))).where(F.col(_TO).isNotNull())
-    spread = spread.select(
-        *[F.col(f"{_TO}.{c}").alias(c) if c in swapped else F.col(c) for c in df.columns],
-        F.col(f"{_TO}.{_OWN}").alias(_OWN),
-    )
+        to = _target(False, swapped, labels)
+        targets.append(to if condition is None else f"CASE WHEN {condition} THEN {to} END")
+    spread = df.selectExpr("*", f"explode(array({', '.join(targets)})) AS {_TO}").where(f"{_TO} IS NOT NULL")
+    spread = spread.selectExpr(*[f"{_TO}.`{c}`" if c in swapped else f"`{c}`" for c in columns], f"{_TO}.{_OWN}")
+
+    own = F.col(_OWN)
     repeated = F.raise_error(F.lit(f"repeated rows for one key of {keys}"))
-    own_value = {
-        c: F.when(F.col(_OWN) & (F.count(F.lit(1)) > 1), repeated.cast(df.schema[c].dataType))
-        .when(F.col(_OWN), F.max(c))
-        .otherwise(agg)
-        .alias(c)
-        for c, agg in measures.items()
-        if c in kept
-    }
-    return spread.groupBy(*keys, _OWN).agg(*own_value.values()).drop(_OWN)
+    alone = F.count(F.lit(1)) == 1
+    values = [
+        F.when(~own, agg).when(alone, F.max(c)).otherwise(repeated).alias(c) for c, agg in measures.items() if c in kept
+    ]
+    return spread.groupBy(*keys, _OWN).agg(*values).drop(_OWN)
 
 
 def append_totals(
     df: DataFrame,
-    totals: Sequence[tuple[Column | None, Mapping[str, Column | str]]],
+    totals: Sequence[Total],
     value: str | Sequence[str] = "Value",
 ) -> DataFrame:
     """Append strict sums; the table must have one row per key."""
@@ -100,14 +102,14 @@ def append_totals(
     return fan_out_totals(df, totals, {v: strict_sum(v) for v in values})
 
 
-def append_total(df: DataFrame, dim: str, label: str, value: str = "Value", where: Column | None = None) -> DataFrame:
+def append_total(df: DataFrame, dim: str, label: str, value: str = "Value", where: str | None = None) -> DataFrame:
     """Append one total (or subset total) member of a dimension."""
     return append_totals(df, [(where, {dim: label})], value)
 
 
 def _region_totals(region: str, world: str, groups: Mapping[str, Sequence[str]]):
     return [(None, {region: world})] + [
-        (F.col(region).isin(list(members)), {region: code}) for code, members in groups.items()
+        (members(region, inside), {region: code}) for code, inside in groups.items()
     ]
 
 
@@ -136,7 +138,7 @@ def region_rollup(
         return fan_out_totals(df, totals, measures, keep=[value]).select(*[c for c in df.columns if c != weight])
 
     columns = [c for c in df.columns if c != weight]
-    labels = [F.lit(world)] + [F.when(cond, F.lit(to[region])) for cond, to in totals[1:]]
-    spread = df.withColumn(region, F.explode(F.array(*labels))).where(F.col(region).isNotNull())
+    labels = [f"'{to[region]}'" if cond is None else f"CASE WHEN {cond} THEN '{to[region]}' END" for cond, to in totals]
+    spread = df.withColumn(region, F.expr(f"explode(array({', '.join(labels)}))")).where(F.col(region).isNotNull())
     rolled = spread.groupBy(*[c for c in columns if c != value]).agg(mean.alias(value))
     return rolled.select(*columns).unionByName(df.select(*columns))

@@ -10,7 +10,7 @@ from cropledger.functions.text import USE_CLASSES, matches, recode_first_match,
 from cropledger.functions.units import thousand_km2_to_million_ha
 from cropledger.operators.lookup import replicate_over, strict_natural_lookup
 from cropledger.operators.reshape import pivot_longer, pivot_wider, union_all
-from cropledger.operators.rollup import append_total, region_rollup, series_sum
+from cropledger.operators.rollup import append_total, members, region_rollup, series_sum
 from cropledger.plans.inputs import ModelInputs, report_rows
 
 BRANCH = "report"
@@ -151,7 +151,7 @@ def quantities_by_code(m: ModelInputs) -> DataFrame:
 def quantities(m: ModelInputs, *, with_livestock_total: bool = False) -> DataFrame:
     rows = quantities_by_code(m)
     if with_livestock_total:
-        rows = append_total(rows, "Item", "LSP", where=F.col("Item").isin(FISH_AND_OTHER, *LIVESTOCK))
+        rows = append_total(rows, "Item", "LSP", where=members("Item", [FISH_AND_OTHER, *LIVESTOCK]))
     return region_rollup(rows)
 
 

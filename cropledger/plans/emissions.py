@@ -10,7 +10,7 @@ from cropledger.functions.text import matches
 from cropledger.functions.units import carbon_to_co2, per_carbon_to_per_co2
 from cropledger.operators.lookup import lookup_default, strict_lookup
 from cropledger.operators.reshape import densify, union_all
-from cropledger.operators.rollup import WORLD, append_totals, region_rollup, series_sum
+from cropledger.operators.rollup import WORLD, append_totals, members, region_rollup, series_sum
 from cropledger.plans.inputs import ModelInputs, report_rows
 from cropledger.sources import fixed
 
@@ -118,13 +118,13 @@ def farm_gases_by_code(m: ModelInputs) -> DataFrame:
     tidy = report_rows(
         summed, Scenario=F.col("scenario"), Region=F.col("region"), Year=F.col("year"), Unit="MtCO2e"
     )
-    farm = F.col("Item").isin(LIVESTOCK)
+    animals = members("Item", LIVESTOCK)
     totals = [
-        (~farm, {"Item": "CRP"}),
-        (farm, {"Item": "LSP"}),
+        (f"NOT {animals}", {"Item": "CRP"}),
+        (animals, {"Item": "LSP"}),
         (None, {"Variable": "EMIS"}),
-        (~farm, {"Item": "CRP", "Variable": "EMIS"}),
-        (farm, {"Item": "LSP", "Variable": "EMIS"}),
+        (f"NOT {animals}", {"Item": "CRP", "Variable": "EMIS"}),
+        (animals, {"Item": "LSP", "Variable": "EMIS"}),
     ]
     return append_totals(densify(tidy, "Item", "Value"), totals)
 

@@ -10,7 +10,7 @@ from cropledger.functions.units import per_person_and_day
 from cropledger.functions.text import among
 from cropledger.operators.lookup import strict_lookup
 from cropledger.operators.reshape import pivot_longer, union_all
-from cropledger.operators.rollup import fan_out_totals, region_rollup, series_sum
+from cropledger.operators.rollup import fan_out_totals, members, region_rollup, series_sum
 from cropledger.plans.inputs import ModelInputs, report_rows
 from cropledger.plans.socio import population_by_code
 from cropledger.sources import fixed
@@ -91,8 +91,8 @@ def calories(m: ModelInputs, *, nec_mode: str = "reference") -> DataFrame:
         raise ValueError(nec_mode)
     item = F.col("Item")
     totals = [
-        (item.isin(ANIMAL), {"Item": "LSP"}),
-        (~item.isin(*ANIMAL, "FSH"), {"Item": "CRP"}),
+        (members("Item", ANIMAL), {"Item": "LSP"}),
+        (f"NOT {members('Item', [*ANIMAL, 'FSH'])}", {"Item": "CRP"}),
         (None, {"Item": "AGR"}),
     ]
     measures = {"intake": strict_sum("intake"), "avail": strict_sum("avail"), "POP": F.max("POP")}

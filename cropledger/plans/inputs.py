@@ -30,13 +30,21 @@ class ModelInputs:
     price_levels: Mapping[int, float]
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR)
     stage: Callable[[str, DataFrame], DataFrame] = field(default=lambda name, df: df)
+    _plucked: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def _once(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._plucked:
+            self._plucked[key] = build()
+        return self._plucked[key]
 
     def report_level(self, name: str) -> DataFrame:
         """Query table with native region as ``region0`` and report code as ``region``."""
-        return pluck(self.table(name), self.scenarios, self.years, regions=self.dims.regions)
+        return self._once(
+            ("report", name), lambda: pluck(self.table(name), self.scenarios, self.years, regions=self.dims.regions)
+        )
 
     def native_level(self, name: str, branch: str | None = None) -> DataFrame:
-        return pluck(self.table(name), self.scenarios, self.years, branch=branch)
+        return self._once((branch, name), lambda: pluck(self.table(name), self.scenarios, self.years, branch=branch))
 
     def in_years(self, name: str) -> DataFrame:
         return in_years(self.table(name).drop("ss", "version", "scen"), self.years)

@@ -10,7 +10,7 @@ from cropledger.functions.text import among, matches, recode_values
 from cropledger.functions.units import thousand_km2_to_thousand_ha
 from cropledger.operators.lookup import lookup_default, lookup_matched, replicate_over, strict_lookup
 from cropledger.operators.reshape import pivot_wider, split_code
-from cropledger.operators.rollup import append_totals, region_rollup, series_sum
+from cropledger.operators.rollup import append_totals, members, region_rollup, series_sum
 from cropledger.plans.inputs import ModelInputs, report_rows
 from cropledger.sources import fixed
 
@@ -78,7 +78,7 @@ def land_cover_by_code(m: ModelInputs) -> DataFrame:
         series_sum(land, "region", "cover"), Scenario=F.col("scenario"), Region=F.col("region"), Year=F.col("year"),
         Item=F.col("cover"), Variable="LAND", Unit="1000 ha", Value=thousand_km2_to_thousand_ha(F.col("value")),
     )
-    return append_totals(rows, [(None, {"Item": "TOT"}), (F.col("Item").isin("GRS", "CRP"), {"Item": "AGR"})])
+    return append_totals(rows, [(None, {"Item": "TOT"}), (members("Item", ["GRS", "CRP"]), {"Item": "AGR"})])
 
 
 def land_cover(m: ModelInputs, *, with_energy_area: bool = True) -> DataFrame:

@@ -64,8 +64,8 @@ def checked(df: DataFrame) -> DataFrame:
     """The report contract: exactly the report columns (now) and no missing entry (when the rows are read)."""
     df = check_columns(df)
     broken = reduce(lambda a, b: a | b, [_missing(c, df) for c in REPORT_COLUMNS])
-    shown = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in REPORT_COLUMNS]
-    return guard(df, broken, F.concat(F.lit("missing entry in report row: "), F.concat_ws(", ", *shown)))
+    shown = F.to_json(F.struct(*REPORT_COLUMNS), {"ignoreNullFields": "false"})
+    return guard(df, broken, F.concat(F.lit("missing entry in report row: "), shown))
 
 
 def collect_tables(m: ModelInputs, names: Sequence[str] | None = None) -> dict[str, DataFrame]:

@@ -285,7 +285,7 @@ def append_total_item(spark, sf):
        "SELECT scenario, 'ALL' AS linestatus, returnflag, year, sum(value) FROM c GROUP BY ALL")
 def append_subset_total(spark, sf):
     cells = summed(spark, sf, "linestatus", "returnflag", by_region=None, value=F.col("value"))
-    totals = [(F.col("returnflag").isin("A", "R"), {"returnflag": "AGR"}), (None, {"linestatus": "ALL"})]
+    totals = [(rollup.members("returnflag", ["A", "R"]), {"returnflag": "AGR"}), (None, {"linestatus": "ALL"})]
     return rollup.append_totals(cells, totals, "value")
 
 

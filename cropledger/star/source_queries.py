@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cropledger.operators.lookup import lookup_matched, strict_lookup
 from cropledger.operators.reshape import pivot_wider
 from cropledger.plans import report
-from cropledger.session import shared_folder
+from cropledger.session import shared_folder, write_and_read_back
 from cropledger.sources import catalog as cat
 from cropledger.sources.dims import default_dimensions, read_auxiliary, read_dimension
 from cropledger.sources.store import Store, load_exports
@@ -39,7 +39,7 @@ def _wide(spark, sf, measure: str) -> DataFrame:
 def write_tree(spark: SparkSession, sf: str, root: str) -> None:
     """``root/star/v1/<scenario>/<query>.csv`` as folders of part files, one write per scenario and query."""
     for query_name, measure in (("money", "value"), ("mass", "weight")):
-        wide = _wide(spark, sf, measure)
+        wide = write_and_read_back(_wide(spark, sf, measure), f"{root}-{query_name}")
         for scenario in lb.SCENARIO_OF:
             rows = wide.where(F.col("scenario") == scenario)
             dated = F.concat("scenario", F.lit(",date=2024-7-1"))
