@@ -60,13 +60,17 @@ def exports(m: ModelInputs) -> DataFrame:
 
 
 def production(m: ModelInputs) -> DataFrame:
+    """Crop and meat production in Mt."""
+    columns = [c for c in KEYS if c != "sector"]
     made = union_all(
         [
-            m.native_level(t, BRANCH).where(F.col("Units") == "Mt").select(*[c for c in KEYS if c != "sector"], F.lower("sector").alias("sector"), "value", F.lit(t).alias("made_in"))
+            m.native_level(t, BRANCH).where(F.col("Units") == "Mt").select(
+                *columns, F.lower("sector").alias("sector"), F.lit(t).alias("source"), "value"
+            )
             for t in ("Agprod", "MeatProd")
         ]
     )
-    return series_sum(made, "branch", "region", "sector", F.lit("Production").alias("element"), "made_in").select(*ROW)
+    return series_sum(made, "branch", "region", "sector", F.lit("Production").alias("element"), "source").select(*ROW)
 
 
 def supply_use(m: ModelInputs) -> DataFrame:

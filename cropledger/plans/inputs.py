@@ -40,11 +40,11 @@ class ModelInputs:
     def report_level(self, name: str) -> DataFrame:
         """Query table with native region as ``region0`` and report code as ``region``."""
         return self._once(
-            ("report", name), lambda: pluck(self.table(name), self.scenarios, self.years, regions=self.dims.regions)
+            ("code", name), lambda: pluck(self.table(name), self.scenarios, self.years, regions=self.dims.regions)
         )
 
     def native_level(self, name: str, branch: str | None = None) -> DataFrame:
-        return self._once((branch, name), lambda: pluck(self.table(name), self.scenarios, self.years, branch=branch))
+        return self._once(("native", branch, name), lambda: pluck(self.table(name), self.scenarios, self.years, branch=branch))
 
     def in_years(self, name: str) -> DataFrame:
         return in_years(self.table(name).drop("ss", "version", "scen"), self.years)
