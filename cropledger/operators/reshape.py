@@ -98,7 +98,7 @@ def complete_grid(
 
 def key_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct key combinations of ``left`` that ``right`` does not have."""
-    return left.select(*keys).distinct().exceptAll(right.select(*keys).distinct())
+    return left.select(*keys).subtract(right.select(*keys))
 
 
 def column_exprs(df: DataFrame, **exprs: Column) -> DataFrame:

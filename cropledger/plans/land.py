@@ -18,13 +18,22 @@ CODE_PARTS = ["LandLeaf", "Basin", "IRR", "MGMT"]
 ENERGY_LEAVES = fixed.AREA_ITEM["ECP"]
 
 
+def split_leaf_code(df: DataFrame, column: str) -> DataFrame:
+    """Leaf, basin, irrigation and management of a code.
+
+    A missing code has a blank leaf, which no mapping knows. A leaf that cannot be NULL also spares the
+    null test of the following lookup, which would be pushed down and split every code a second time.
+    """
+    return split_code(df, column, CODE_PARTS).withColumn("LandLeaf", F.coalesce("LandLeaf", F.lit("")))
+
+
 def _harvested(m: ModelInputs, land: DataFrame, region: str) -> DataFrame:
     """Land cover times harvests per year (1 where unknown), with the leaf code split."""
     harvests = m.table("harvests").select(
         F.col("region").alias(region), F.col("technology").alias("LandLeaf"), "harvests_per_year"
     )
     cover = lookup_default(land, harvests, [region, "LandLeaf"], {"harvests_per_year": 1.0}, what="harvests")
-    return split_code(cover.withColumn("value", F.col("value") * F.col("harvests_per_year")), "LandLeaf", CODE_PARTS)
+    return split_leaf_code(cover.withColumn("value", F.col("value") * F.col("harvests_per_year")), "LandLeaf")
 
 
 def area_by_code(m: ModelInputs) -> DataFrame:

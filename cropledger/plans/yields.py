@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from cropledger.functions.text import recode_values
 from cropledger.functions.units import ej_to_mt
 from cropledger.operators.lookup import lookup_matched
-from cropledger.operators.reshape import split_code
 from cropledger.operators.rollup import append_totals, region_rollup, series_sum
 from cropledger.operators.series import freeze_at
 from cropledger.plans.inputs import ModelInputs, report_rows
-from cropledger.plans.land import CODE_PARTS, area_by_code
+from cropledger.plans.land import area_by_code, split_leaf_code
 
 # Production variable -> area variable -> yield variable.
 AREA_OF = {"PROD": "AREA", "PRIR": "ARIR", "PRRF": "ARRF"}
@@ -27,7 +26,7 @@ def in_mt(df: DataFrame) -> DataFrame:
 
 def production_by_code(m: ModelInputs) -> DataFrame:
     """PROD, PRIR, PRRF by crop item with the all-crop total."""
-    split = split_code(in_mt(m.report_level("Agprod")), "technology", CODE_PARTS)
+    split = split_leaf_code(in_mt(m.report_level("Agprod")), "technology")
     by_leaf = series_sum(split, "region", "LandLeaf", "IRR")
     labelled = lookup_matched(by_leaf, m.dims.leaves, "LandLeaf", ["item"], unique=True)
     by_item = series_sum(labelled.withColumn("value", F.col("value") * 1000), "region", "item", "IRR")

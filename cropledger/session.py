@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -37,14 +40,17 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        import tempfile
-
         folder = tempfile.mkdtemp(prefix="cropledger-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/cropledger-{uuid.uuid4().hex}"
+
+
 def write_and_read_back(df: DataFrame, path: str) -> DataFrame:
     """Cut the lineage with a written table, so that a lost executor costs a re-read, not a re-run."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

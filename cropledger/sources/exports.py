@@ -12,7 +12,7 @@ import re
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,11 +27,16 @@ HEADER_START = r'^"?scenario"?,'
 
 @dataclass(frozen=True)
 class QueryTable:
-    """A long table, the cells that could not be read as numbers, and the files without a header."""
+    """A long table, the cells that could not be read as numbers, and (path, reason) of the files left out.
+
+    ``observed`` counts the bad cells (``bad``) while ``rows`` is written, so that the rejected cells
+    need a scan of their own only where there are any.
+    """
 
     rows: DataFrame
     rejected_cells: DataFrame
-    rejected_files: DataFrame
+    rejected_files: list[tuple[str, str]]
+    observed: Observation
 
 
 def headers_of(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -92,8 +97,6 @@ def read_query(spark: SparkSession, paths: list[str]) -> QueryTable:
         else:
             (unclear if found else without).append(path)
     rejected = [(p, "no header line") for p in without] + [(p, "several different header lines") for p in unclear]
-    rejected_files = spark.createDataFrame(rejected, "path string, reason string")
-
     parts = []
     for header, files in sorted(groups.items()):
         tidy = _read_same_header(spark, files, _named(header))
@@ -111,5 +114,7 @@ def read_query(spark: SparkSession, paths: list[str]) -> QueryTable:
         .withColumn("scen", F.col("ss"))
     )
     bad = long.where(F.col("value").isNull()).select(F.col("__path").alias("path"), "year", F.col("raw").alias("text"))
-    rows = long.where(F.col("value").isNotNull()).drop("__path", "raw")
-    return QueryTable(rows, bad, rejected_files)
+    observed = Observation()
+    seen_cells = long.observe(observed, F.count_if(F.col("value").isNull()).alias("bad"))
+    rows = seen_cells.where(F.col("value").isNotNull()).drop("__path", "raw")
+    return QueryTable(rows, bad, rejected, observed)

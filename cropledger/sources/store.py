@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.operators.access import optional_filter
+from cropledger.operators.reshape import union_all
 from cropledger.sources import catalog as cat
 from cropledger.sources.exports import read_query
+from cropledger.sources.literal import literal_table
 
 
 class Store:
@@ -53,7 +55,8 @@ def load_exports(
 ) -> list[str]:
     """Catalogue, select, read, clean and save every selected query; returns the names saved.
 
-    Rejected files and cells are saved as ``rejected_files`` and ``rejected_cells`` by query.
+    Each file is parsed once for its table. What could not be read goes to ``rejected_files`` and
+    ``rejected_cells``, which hold the findings of the last load.
     """
     chosen = cat.select_exports(
         cat.list_exports(spark, root, project), in_versions=versions, in_scens=scens, in_queries=queries
@@ -61,16 +64,19 @@ def load_exports(
     paths: dict[str, list[str]] = {}
     for row in chosen.select("query", "path").collect():
         paths.setdefault(row["query"], []).append(row["path"])
-    saved = []
+    saved, bad_files, bad_cells = [], [], []
     for name, files in sorted(paths.items()):
         try:
             table = read_query(spark, sorted(files))
         except ValueError:
-            bad = spark.createDataFrame([(p, "no readable export") for p in files], "path string, reason string")
-            store.save("rejected_files", bad.withColumn("query", F.lit(name)), ["query"])
+            bad_files += [(name, path, "no readable export") for path in files]
             continue
         store.save(name, table.rows, ["version", "scen"])
-        store.save("rejected_files", table.rejected_files.withColumn("query", F.lit(name)), ["query"])
-        store.save("rejected_cells", table.rejected_cells.withColumn("query", F.lit(name)), ["query"])
         saved.append(name)
+        bad_files += [(name, *found) for found in table.rejected_files]
+        if table.observed.get["bad"]:
+            bad_cells.append(table.rejected_cells.select(F.lit(name).alias("query"), "path", "year", "text"))
+    store.save("rejected_files", literal_table(spark, {"query": "string", "path": "string", "reason": "string"}, bad_files))
+    none = literal_table(spark, {"query": "string", "path": "string", "year": "int", "text": "string"}, [])
+    store.save("rejected_cells", union_all([none, *bad_cells]))
     return saved

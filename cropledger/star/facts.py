@@ -38,7 +38,7 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = orders.join(customers, "o_custkey", "inner").drop("o_custkey")
     lines = read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("partkey"), F.col("l_linestatus").alias("linestatus"),
-        F.col("l_returnflag").alias("returnflag"), F.round(F.col("l_extendedprice") * 100).alias("value"),
+        F.col("l_returnflag").alias("returnflag"), F.rint(F.col("l_extendedprice") * 100).alias("value"),
         F.col("l_quantity").alias("weight"), F.col("l_linenumber").alias("linenumber"),
     )
     return lines.join(placed.hint("merge"), "o_orderkey", "inner").drop("o_orderkey")

@@ -11,8 +11,9 @@ from cropledger.star.registry import query
 from cropledger.star.sql import REPORT, RESULT_OF, text, wmean
 
 
-def _inputs(spark, sf, staged=False):
-    return StarModel(spark, sf, staged=staged).inputs()
+def _inputs(spark, sf, staged=True, keep_stages=False):
+    """Model inputs over the written cube; a single scan of the line items needs no cube."""
+    return StarModel(spark, sf, staged=staged, keep_stages=keep_stages).inputs()
 
 
 def rounded(df, *columns, digits=6):
@@ -23,10 +24,14 @@ def _report(fragment):
     return f"SELECT {REPORT}, round(Value, 6) AS Value FROM {fragment}"
 
 
+# Indicators that read the orders only, or the line items once.
+SINGLE_SCAN = {"gdp", "gdp_by_native_region", "population", "employment", "carbon_price", "water", "fertiliser"}
+
+
 def _add_table(name, build, fragment):
     @query(f"indicator_{name}", _report(fragment))
     def run(spark, sf):
-        return rounded(report.checked(build(_inputs(spark, sf))))
+        return rounded(report.checked(build(_inputs(spark, sf, staged=name not in SINGLE_SCAN))))
 
 
 for _name, _build in report.TABLES.items():
@@ -61,7 +66,7 @@ _BALANCE = "SELECT 'report' AS branch, scenario, region0 AS region, sector, year
 
 @query("balance_supply_use", _BALANCE.format(value="value", source="b_supply_use"))
 def balance_supply_use(spark, sf):
-    return balance.supply_use(_inputs(spark, sf, staged=True))
+    return balance.supply_use(_inputs(spark, sf))
 
 
 @query("balance_storage", _BALANCE.format(value="value", source="b_storage"))
@@ -148,8 +153,8 @@ _ALL = " UNION ALL ".join(f"SELECT {REPORT}, Value FROM {RESULT_OF[name]}" for n
 
 
 def _whole(spark, sf, names=None):
-    """The report over the written cube: the line items are read once for all its tables."""
-    return report.assemble(report.collect_tables(_inputs(spark, sf, staged=True), names), "MODEL")
+    """The report; intermediates that several tables share are written once."""
+    return report.assemble(report.collect_tables(_inputs(spark, sf, keep_stages=True), names), "MODEL")
 
 
 @query("report_assemble", f"SELECT DISTINCT 'MODEL' AS Model, {REPORT}, round(Value, 6) AS Value FROM ({_ALL})")
@@ -179,7 +184,7 @@ def report_missing_values(spark, sf):
 
 @query("report_table_rows", " UNION ALL ".join(f"SELECT {text(name)} AS name, count(*) AS n FROM {RESULT_OF[name]}" for name in _SOME))
 def report_table_rows(spark, sf):
-    return report.table_rows(report.collect_tables(_inputs(spark, sf, staged=True), _SOME))
+    return report.table_rows(report.collect_tables(_inputs(spark, sf, keep_stages=True), _SOME))
 
 
 @query("report_negative_values", "SELECT Scenario, Region, Item, Variable, Year, Unit, Value FROM r_quant WHERE Variable = 'NETT' AND Value < 0")

@@ -15,15 +15,33 @@ from pyspark.sql import functions as F
 
 from cropledger.operators.lookup import strict_lookup
 from cropledger.plans.inputs import ModelInputs
-from cropledger.session import shared_folder, write_and_read_back
+from cropledger.session import fresh_folder, write_and_read_back
 from cropledger.sources.dims import Dimensions, default_dimensions
 from cropledger.star import labels as lb
 
 CUBE_KEYS = ["sc", "region_id", "year", "p", "s", "irrigated", "flag"]
+CUBE_SCHEMA = "sc int, region_id int, year int, p int, s int, irrigated boolean, flag string, qty double, ln double"
+
+
+# Declared schemas spare a job per table that would only read file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+# Written cubes of this process by (application, tables): loaded once, read by every indicator that follows.
+_CUBES: dict[tuple[str, str], str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pick(members: Sequence, index: Column) -> Column:
@@ -44,13 +62,16 @@ def scenario_code(priority: Column) -> Column:
 
 
 class StarModel:
-    """Query tables by name. ``staged`` works from the written cube instead of the line items."""
+    """Query tables by name.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, staged: bool = False):
-        self.spark, self.sf_dir, self.staged = spark, sf_dir, staged
+    ``staged`` works from a cube of the line items that is written once per application;
+    ``keep_stages`` also writes the intermediates that several indicators share.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *, staged: bool = False, keep_stages: bool = False):
+        self.spark, self.sf_dir, self.staged, self.keep_stages = spark, sf_dir, staged, keep_stages
         self.dims: Dimensions = default_dimensions(spark)
-        self._folder: str | None = None
-        self._kept: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame] = {}
 
     # -- facts ---------------------------------------------------------------------------------
 
@@ -79,29 +100,33 @@ class StarModel:
 
     def lines(self) -> DataFrame:
         """Line facts: integer label keys, quantity ``qty`` and line number ``ln``."""
-        cube = lambda: self._lines().groupBy(*CUBE_KEYS).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
-        return self._keep("lines", cube if self.staged else self._lines)
+        return self._once("lines", self._cube if self.staged else self._lines)
+
+    def _cube(self) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _CUBES:
+            folder = fresh_folder(self.spark)
+            cells = self._lines().groupBy(*CUBE_KEYS).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
+            cells.write.parquet(folder)
+            _CUBES[key] = folder
+        return self.spark.read.schema(CUBE_SCHEMA).parquet(_CUBES[key])
 
     def placed_orders(self) -> DataFrame:
         """Orders summed by scenario, region and year: count ``n`` and whole-currency price ``price``."""
-        return self._keep(
+        return self._once(
             "orders",
             lambda: self.orders().groupBy("sc", "region_id", "year").agg(
                 F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.floor("o_totalprice")).cast("double").alias("price")
             ),
         )
 
-    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Built once; also written once in staged mode."""
-        if name not in self._kept:
-            df = build()
-            if self.staged:
-                if self._folder is None:
-                    stamp = self.spark.sql("SELECT uuid()").first()[0]
-                    self._folder = f"{shared_folder(self.spark)}/cropledger-{stamp}"
-                df = write_and_read_back(df, f"{self._folder}/{name}")
-            self._kept[name] = df
-        return self._kept[name]
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
+
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        return self._once(f"stage {name}", lambda: write_and_read_back(df, fresh_folder(self.spark)))
 
     # -- query tables --------------------------------------------------------------------------
 
@@ -292,9 +317,9 @@ class StarModel:
     # -- inputs --------------------------------------------------------------------------------
 
     def inputs(self) -> ModelInputs:
+        extra = {"stage": self._stage} if self.keep_stages else {}
         return ModelInputs(
-            table=self.table, dims=self.dims, scenarios=lb.SCENARIOS, price_levels=lb.PRICE_LEVELS,
-            stage=lambda name, df: self._keep(name, lambda: df),
+            table=self.table, dims=self.dims, scenarios=lb.SCENARIOS, price_levels=lb.PRICE_LEVELS, **extra
         )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cropledger.operators.lookup import lookup_matched, strict_lookup
 from cropledger.operators.reshape import pivot_wider
 from cropledger.plans import report
-from cropledger.session import shared_folder, write_and_read_back
+from cropledger.session import fresh_folder, write_and_read_back
 from cropledger.sources import catalog as cat
 from cropledger.sources.dims import default_dimensions, read_auxiliary, read_dimension
 from cropledger.sources.store import Store, load_exports
@@ -21,10 +21,6 @@ PROJECT, VERSION = "star", "v1"
 YEARS = [str(y) for y in range(1995, 2002)]
 
 
-def fresh_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/cropledger-{spark.sql('SELECT uuid()').first()[0]}"
-
-
 def _folder_name(scenario: str) -> str:
     return scenario.replace(" ", "_")
 

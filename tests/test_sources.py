@@ -66,8 +66,10 @@ def test_load_exports(spark, tree, tmp_path):
     assert store.load("prod").count() == 7
     assert store.load("prod", versions=["v2"], scens=["BAU"]).count() == 2
     assert rows(store.load("rejected_files"), "query", "reason") == [("broken", "no readable export")]
+    assert rows(store.load("rejected_cells"), "query", "year", "text") == [("prod", 2025, "oops")]
     load_exports(spark, tree, "proj", store, versions=["v2"], queries=["prod"])
     assert store.load("prod").count() == 7  # the other version's partitions stay
+    assert store.load("rejected_files").count() == store.load("rejected_cells").count() == 0
 
 
 def test_store_errors(spark, tmp_path):
