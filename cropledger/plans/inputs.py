@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from cropledger.functions.units import deflate
 from cropledger.operators.access import FIRST_YEAR, LAST_YEAR, in_years, pluck, to_report_region
 from cropledger.operators.lookup import strict_lookup
-from cropledger.sources.dims import Dimensions
+from cropledger.session import fresh_folder, write_and_read_back
+from cropledger.sources.dims import Dimensions, default_dimensions
+from cropledger.sources.store import Store
 
 REPORT_COLUMNS = ["Scenario", "Region", "Item", "Variable", "Year", "Unit", "Value"]
 
@@ -61,6 +63,45 @@ class ModelInputs:
         return self.code_of(named)
 
 
+# Auxiliary tables and their columns; they are stored beside the query tables under these names.
+AUXILIARY = {
+    "harvests": "region string, technology string, harvests_per_year double",
+    "exogenous_yield": "region string, irr string, crop string, year int, scenario string, value double",
+    "waste_share": "region string, commodity string, year int, waste_share double, half_waste double",
+    "fish_share": "region_id int, fish double, other_meat double",
+    "uncovered_calories": "region_id int, uncovered double, total double",
+    "labour_force": "region_id int, scenario string, year int, value double",
+}
+
+
+def stored_inputs(
+    store: Store,
+    version: str,
+    scenarios: Sequence[str],
+    price_levels: Mapping[int, float],
+    dims: Dimensions | None = None,
+    *,
+    keep_stages: bool = True,
+) -> ModelInputs:
+    """Inputs from a store: query tables pruned to one version, auxiliary tables as they are.
+
+    ``keep_stages`` writes the intermediates that several indicators share to the shared folder.
+    """
+
+    def table(name: str) -> DataFrame:
+        return store.load(name) if name in AUXILIARY else store.load(name, versions=[version])
+
+    kept: dict[str, DataFrame] = {}
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        if name not in kept:
+            kept[name] = write_and_read_back(df, fresh_folder(store.spark))
+        return kept[name]
+
+    extra = {"stage": stage} if keep_stages else {}
+    return ModelInputs(table, dims or default_dimensions(store.spark), scenarios, price_levels, **extra)
+
+
 def report_rows(df: DataFrame, *extra: str, **columns: Column | str) -> DataFrame:
     """Report columns from expressions or constants; ``extra`` columns (a weight) follow."""
     exprs = {c: columns.get(c, F.col(c) if c in df.columns else None) for c in REPORT_COLUMNS}

@@ -528,8 +528,10 @@ def recode_use_class(spark, sf):
 def trade_partner_text(spark, sf):
     suppliers = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nationkey"))
     parts = read(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("sector"))
-    lines = read(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
-    traded = lines.join(suppliers, "l_suppkey").join(parts, "l_partkey").groupBy("nationkey", "sector").agg(F.count(F.lit(1)).alias("n"))
+    # Summed before each join: a hot supplier or part enters it as a few rows.
+    lines = read(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    sold = lines.join(suppliers, "l_suppkey").groupBy("nationkey", "l_partkey").agg(F.sum("n").alias("n"))
+    traded = sold.join(parts, "l_partkey").groupBy("nationkey", "sector").agg(F.sum("n").alias("n"))
     labelled = named(traded, spark, sf).withColumn("subsector", F.concat("region0", F.lit(" traded "), "sector"))
     return labelled.select(trade_partner(F.col("subsector"), F.col("sector")).alias("partner"), "sector", "n")
 
