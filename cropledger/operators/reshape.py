@@ -52,7 +52,9 @@ def densify(
     keys = [c for c in df.columns if c not in (dim, value)]
     cells = unique_rows(df, [*keys, dim], [value], "table to densify")
     if members is None:
-        listed = df.agg(F.array_sort(F.collect_set(dim))).scalar()
+        # Counting values keeps the cells whole here, so that their shuffle is shared and not computed twice.
+        seen = F.struct(F.array_sort(F.collect_set(dim)).alias("members"), F.count(value).alias("known"))
+        listed = cells.agg(seen).scalar()["members"]
     else:
         listed = F.array(*[F.lit(m) for m in members])
     by_member = F.map_from_entries(F.collect_list(F.struct(F.col(dim), F.col(value))))
@@ -78,22 +80,23 @@ def complete_grid(
 
     The member lists (facet, remaining attributes) are dimension-sized and travel as one value each.
     """
-    places = grid.select(*cell).distinct()
     wanted = [*cell] if facet is None else [*cell, facet]
     others = [c for c in df.columns if c not in (*wanted, value)]
+    sets = [F.collect_set(facet).alias("members")] if facet else []
+    sets += [F.collect_set(F.struct(*others)).alias("combos")] if others else []
+    places = grid.select(*cell).distinct()
+    if sets:
+        places = places.withColumn("__seen", df.agg(F.struct(*sets)).scalar())
     if facet is not None:
-        members = df.agg(F.collect_set(facet)).scalar()
-        places_by_facet = places.withColumn("__m", members).select(*cell, F.explode("__m").alias(facet))
-    else:
-        places_by_facet = places
-    absent = places_by_facet.join(df.select(*wanted).distinct(), wanted, "left_anti")
+        places = places.select("*", F.explode("__seen.members").alias(facet))
+    # One join finds the rows on the grid and the places without any; the latter fan out to all combinations.
+    joined = places.join(df.withColumn("__hit", F.lit(True)), wanted, "left")
     if others:
-        combos = df.agg(F.collect_set(F.struct(*others))).scalar()
-        absent = absent.withColumn("__o", combos).withColumn("__o", F.explode("__o"))
-        absent = absent.select(*wanted, *[F.col(f"__o.{c}").alias(c) for c in others])
-    added = absent.withColumn(value, F.lit(fill)).select(*df.columns)
-    present = df.join(places, list(cell), "left_semi").fillna(fill, [value])
-    return present.unionByName(added)
+        own = F.array(F.struct(*others))
+        joined = joined.withColumn("__o", F.explode(F.when(F.col("__hit"), own).otherwise(F.col("__seen.combos"))))
+    filled = F.coalesce(F.col(value), F.lit(fill))
+    shown = {c: F.col(f"__o.{c}") for c in others} | {value: filled}
+    return joined.select(*[shown[c].alias(c) if c in shown else F.col(c) for c in df.columns])
 
 
 def key_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from cropledger.functions.text import (
 from cropledger.functions.units import carbon_to_co2, deflate, ej_to_mt, per_person_and_day
 from cropledger.operators import access, lookup, reshape, rollup, series
 from cropledger.plans.figures import basin_map
+from cropledger.session import fresh_folder, write_and_read_back
 from cropledger.star import labels as lb
 from cropledger.star.facts import GROUPS, line_facts, named, nations, summed
 from cropledger.star.model import read
@@ -454,6 +455,8 @@ def _basins(spark, sf):
     place = F.col("region0")
     kept = cells.where(((place != "NATION_3") | (F.col("basin") == "F")) & ~((place == "NATION_4") & (F.col("facet") == "N")))
     data = kept.groupBy(place.alias("region"), "basin", "facet", "year").agg((F.sum("value") / 1048576).alias("value"))
+    # Small sums used twice: written once, so that the line items are read once.
+    data = write_and_read_back(data, fresh_folder(spark))
     places = nations(spark, sf).where(F.col("region0") != "NATION_9").select(F.col("region0").alias("region"))
     grid = lookup.replicate_over_observed(places, "basin", read(spark, sf, "lineitem"), "l_linestatus")
     return data, grid
