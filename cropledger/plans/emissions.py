@@ -19,6 +19,7 @@ PRICE_MARKET = "USACO2"
 RESIDUAL = "Resource production"
 LAND_USE = "LULUCF"
 FARM_GASES = {"CH4_AGR": "ECH4", "CH4_AWB": "ECH4", "N2O_AGR": "EN2O", "N2O_AWB": "EN2O", "CH4": "CH4_En", "N2O": "N2O_En"}
+CARBON = ["CO2", "CO2_FUG"]
 UNMANAGED = "UnmanagedLand"
 LIVESTOCK = ["RUM", "NRM", "DRY"]
 
@@ -136,15 +137,10 @@ def farm_gases(m: ModelInputs) -> DataFrame:
 
 def all_gases_by_code(m: ModelInputs) -> DataFrame:
     """All gases in MtCO2e by report code: CO2 and AR6-weighted others. Not part of the report."""
-    others = lookup_default(
-        by_sector(m).where(~F.col("GHG").isin("CO2", "CO2_FUG")).withColumn(
-            "GHG", F.when(F.col("GHG").contains("SO2_"), F.lit("SO2_3")).otherwise(F.col("GHG"))
-        ),
-        m.dims.gases, "GHG", {"ar6": 0.0}, unique=True,
-    ).withColumn("value", F.col("value") * F.col("ar6"))
-    carbon = by_sector(m).where(F.col("GHG").isin("CO2", "CO2_FUG")).withColumn("value", carbon_to_co2(F.col("value")))
-    columns = ["scenario", "region", "year", "value"]
-    both = union_all([others.select(*columns), carbon.select(*columns)]).where(F.col("value").isNotNull())
+    gas = F.when(F.col("GHG").contains("SO2_"), F.lit("SO2_3")).otherwise(F.col("GHG"))
+    weighted = lookup_default(by_sector(m).withColumn("GHG", gas), m.dims.gases, "GHG", {"ar6": 0.0}, unique=True)
+    value = F.when(F.col("GHG").isin(CARBON), carbon_to_co2(F.col("value"))).otherwise(F.col("value") * F.col("ar6"))
+    both = weighted.withColumn("value", value).where(F.col("value").isNotNull())
     return report_rows(
         series_sum(both, "region"), Scenario=F.col("scenario"), Region=F.col("region"), Year=F.col("year"),
         Item="TOT", Variable="GHGT", Unit="MtCO2e", Value=F.col("value"),

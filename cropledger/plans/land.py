@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.functions.aggregates import strict_sum, weighted_mean
-from cropledger.functions.text import among, matches, recode_values
+from cropledger.functions.text import among, recode_values
 from cropledger.functions.units import thousand_km2_to_thousand_ha
 from cropledger.operators.lookup import lookup_default, lookup_matched, replicate_over, strict_lookup
 from cropledger.operators.reshape import pivot_wider, split_code
@@ -97,7 +97,3 @@ def land_cover(m: ModelInputs, *, with_energy_area: bool = True) -> DataFrame:
         return land
     energy = area_by_code(m).where((F.col("Variable") == "AREA") & (F.col("Item") == "ECP"))
     return land.unionByName(region_rollup(energy))
-
-
-def without_climate_change(scenario: str = "Scenario"):
-    return matches(F.col(scenario), fixed.NO_CLIMATE_CHANGE)

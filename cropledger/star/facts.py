@@ -44,15 +44,6 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(placed.hint("merge"), "o_orderkey", "inner").drop("o_orderkey")
 
 
-def with_parts(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part attributes; parts grow with the data, so this is a merge join that can split a hot part."""
-    parts = read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("partkey"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
-        F.col("p_type").alias("kind"), F.col("p_size").alias("size"),
-    )
-    return df.join(parts.hint("merge"), "partkey", "inner")
-
-
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nationkey, region0, region."""
     regions = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
