@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,11 +40,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a fresh local folder is chosen.
+    A local session that names none gets a folder of its own, removed when Python ends. On any other master a
+    missing setting is an error: executors would write to their own disks and read back nothing.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cropledger-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -50,7 +58,38 @@ def fresh_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cropledger-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_and_read_back(df: DataFrame, path: str) -> DataFrame:
-    """Cut the lineage with a written table, so that a lost executor costs a re-read, not a re-run."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut the lineage with a written table, so that a lost executor costs a re-read, not a re-run.
+
+    Fails if the table holds other than the rows written, as it would on a folder that is not shared.
+    """
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    found = back.count()
+    if found != written.get["rows"]:
+        raise RuntimeError(f"{written.get['rows']} rows written to {path}, {found} read back")
+    return back
+
+
+class WorkFolder:
+    """Written intermediates of one run, by name, in a folder of its own below the shared one."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = fresh_folder(spark)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table and read it back."""
+        return write_and_read_back(df, f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables nothing reads any more; without names, the whole folder."""
+        for path in [f"{self.path}/{n}" for n in names] or [self.path]:
+            remove_folder(self.spark, path)
