@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cropledger.llm import exact_dedup
+from cropledger.llm import exact_dedup, html_text, importance, licences, packing, secrets, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +42,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op8_bin_slack_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op6_importance_resampling")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return importance.resample(docs, importance.fit(docs, table(spark, sf_dir, "labels")), fraction=0.5)
+
+
+@query("op7_noisy_or_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_layout_html")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op10_warc_round_trip",
+    """
+    WITH payloads AS (
+        SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hexed,
+               max(page_id) OVER (PARTITION BY coalesce(html, '')) AS leader
+        FROM pages
+    ), digits AS (
+        SELECT page_id, payload, leader,
+               list_transform(range(8), lambda i: CAST('0x' || substr(hexed, CAST(5 * i + 1 AS INT), 5) AS INT)) AS parts
+        FROM payloads
+    )
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda j:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      CAST((parts[j // 4 + 1] >> (15 - 5 * (j % 4))::INT) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+           CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = leader THEN NULL ELSE leader END AS refers_to
+    FROM digits
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op1_licence_digests", licences.scan_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op2_secret_ledger")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans", "n_pem", "n_github", "n_jwt",
+    )
