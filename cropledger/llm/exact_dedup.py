@@ -94,7 +94,8 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", salt
     # A digest that only one batch knows needs no further step.
     winners = local.where("row_key = local_key").select("row_key", "doc_id", "digest", "local_rows", "content")
     shared = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    shared = work.keep("shared", shared)
+    # Always a merge join: whether few or many digests are shared, the same bytes move for each row.
+    shared = work.keep("shared", shared).hint("merge")
     salted = Window.partitionBy("digest", "salt", "content")
     merged = (
         winners.join(shared, "digest", "left_semi")
