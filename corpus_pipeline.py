@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropledger.llm import exact_dedup
+from cropledger.llm import dart_minhash, decontaminate, exact_dedup, importance, packing
 from cropledger.session import WorkFolder
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose importance weight the classifier rejects go."""
+    return importance.keep_accepted(docs, importance.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the document with the smallest doc_id stays."""
+    return dart_minhash.keep_one(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.keep_clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, tokenised and packed into sequences: one row per piece."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality", quality), ("exact dedup", exact), ("near dedup", near), ("decontamination", clean), ("packing", packed)]
 
 #: The stages train models, hash weighted shingles and tokenise, which SQL cannot express; tests hold them to brute force.
 ORACLE_SQL = None

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.llm import exact_dedup, html_text, importance, licences, packing, secrets, toxicity, warc
+from cropledger.llm import (
+    dart_minhash, decontaminate, exact_dedup, html_text, importance, licences, packing, secrets, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +105,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"),
         "spans", "n_pem", "n_github", "n_jwt",
     )
+
+
+@query("op3_dart_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op4_cgk_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

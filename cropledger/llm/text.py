@@ -81,12 +81,12 @@ def owners(offsets: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, start, "right") - 1
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Slices of a batch with at most so many bytes of text, one row at least: what one numpy pass holds."""
+def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 1 << 20):
+    """Slices of a batch with at most so many bytes of text and rows, one row at least: what one numpy pass holds."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for k, n in enumerate(size):
-        if held and held + n > most:
+        if held and held + n > most or k - at >= rows:
             yield batch.slice(at, k - at)
             at, held = k, 0
         held += int(n)
