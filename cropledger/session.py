@@ -58,10 +58,20 @@ def fresh_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cropledger-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever store holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    store, target = _located(spark, path)
+    store.delete(target, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _located(spark, path)
+    return store.exists(target)
 
 
 def write_and_read_back(df: DataFrame, path: str) -> DataFrame:
