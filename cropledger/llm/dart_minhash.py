@@ -90,10 +90,10 @@ def signatures(element: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: i
         high = np.minimum(np.repeat(weight[mine], cells) - nth, 1.0)
         at = np.zeros(len(cell))
         flats, ranks, marks = [], [], []
-        turn = np.uint64(0)
+        turn = 0
         while len(cell):  # the next dart of every cell, until it lies beyond the rank
-            turn += np.uint64(1)
-            dart = tx.mix(cell + turn * DART)
+            turn += 1
+            dart = tx.mix(cell + np.uint64(turn * int(DART) % 2**64))
             at = at - np.log(tx.unit(dart))
             alive = at < rank[of]
             cell, of, at, high, dart = cell[alive], of[alive], at[alive], high[alive], dart[alive]

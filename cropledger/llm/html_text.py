@@ -13,6 +13,7 @@ than ``DEPTH`` levels deep become siblings, as in browsers. Rows are rendered on
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from html import unescape
@@ -606,6 +607,7 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
 
 def render(html: str | None) -> str:
     """Visible text of one page."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * DEPTH))  # a level takes up to four calls
     return "\n".join(Page(html).lines) if html else ""
 
 

@@ -21,11 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.session import WorkFolder, fresh_folder
+from cropledger.session import WorkFolder, folder_exists, fresh_folder
 
 LEVEL = 3
 
@@ -109,12 +108,9 @@ class Ledger:
         self.spark, self.folder, self.rules = spark, folder.rstrip("/"), rules
 
     def rows(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER).parquet(self.folder)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not folder_exists(self.spark, self.folder):
             return self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(self.folder)
 
     def scan(self, paths: DataFrame) -> None:
         """Run the rules on blobs of ``paths`` (path, blob, text) that the ledger lacks them for."""
