@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
 
 from cropledger.llm import toxicity as tox
 from cropledger.llm.queries import QUERIES
@@ -66,27 +65,23 @@ def test_held_out_labels_are_not_learned_from(spark):
     assert np.array_equal(tox.fit(docs, labels), tox.fit(both, more))
 
 
-def test_gradient_of_noisy_or(monkeypatch):
-    """Training lowers the loss to that of a minimum: no small step in any weight makes it better by much."""
+def test_training_lowers_the_loss_of_noisy_or(monkeypatch):
     rng = np.random.default_rng(2)
     texts = [". ".join(" ".join(f"w{rng.integers(20)}" for _ in range(4)) for _ in range(3)) for _ in range(60)]
-    label = np.array([int("w7" in t.split() or "w7." in t) for t in texts])
+    label = np.array([int("w7" in t.replace(".", "").split()) for t in texts])
     bucket, first, row, _ = tox.bags(pa.array(texts))
     monkeypatch.setattr(tox, "CLEAR", 0.0)
-    monkeypatch.setattr(tox, "STEPS", 800)
-    model = tox.train(bucket, first, row, label, np.ones(60))
 
-    def loss(m):
-        total = np.bincount(row, np.logaddexp(0, tox._logits(m, bucket, first)), 60)
+    def loss(model):
+        total = np.bincount(row, np.logaddexp(0, tox._logits(model, bucket, first)), 60)
         p = np.clip(-np.expm1(-total), 1e-12, 1 - 1e-12)
-        return -(label * np.log(p) + (1 - label) * np.log(1 - p)).sum() + tox.DECAY * 60 * (m[:-1] ** 2).sum() / 2
+        return -(label * np.log(p) + (1 - label) * np.log(1 - p)).sum()
 
-    base = loss(model)
-    for k in np.flatnonzero(model[:-2])[:20]:
-        for step in (-0.5, 0.5):
-            other = model.copy()
-            other[k] += step
-            assert loss(other) > base - 0.05
+    losses = []
+    for steps in (1, 30, 300):
+        monkeypatch.setattr(tox, "STEPS", steps)
+        losses.append(loss(tox.train(bucket, first, row, label, np.ones(60))))
+    assert losses[0] > 2 * losses[1] > 4 * losses[2] and losses[2] < 3
 
 
 def test_missing_classes_repeats_and_empty_tables(spark, documents):
@@ -102,4 +97,3 @@ def test_bags():
     bucket, first, row, (start, end) = tox.bags(pa.array(["one two. three!\nfour", "", "... five"]))
     assert len(bucket) == 5 and first.tolist() == [0, 2, 3, 4] and row.tolist() == [0, 0, 0, 2]
     assert start.tolist() == [0, 9, 16, 4] and end.tolist() == [7, 14, 20, 8]
-    assert F is not None
