@@ -19,7 +19,7 @@ WORDS_ONLY = np.where(KINDS == WORD, WORD, SPACE).astype(np.uint8)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LONG_RUN = 1024
 POWERS = np.multiply.accumulate(np.full(LONG_RUN, BASE, np.uint64))
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ def owners(offsets: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, start, "right") - 1
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 1 << 20):
+def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 20, rows: int = 1 << 20):
     """Slices of a batch with at most so many bytes of text and rows, one row at least: what one numpy pass holds."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0

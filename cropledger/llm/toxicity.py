@@ -80,12 +80,11 @@ def _logits(model: np.ndarray, bucket: np.ndarray, first: np.ndarray) -> np.ndar
 def train(bucket: np.ndarray, first: np.ndarray, row: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights by bucket. Adagrad on the whole sample; the loss is the weighted log loss of noisy-or."""
     sentence = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(bucket))))
-    pair = np.concatenate([row[sentence] * np.int64(BUCKETS + 1) + bucket[:, k] for k in range(bucket.shape[1])])
-    document, of_it = np.divmod(np.unique(pair), BUCKETS + 1)
-    del pair
-    bad = label[document] == 1
-    some = np.bincount(of_it, minlength=BUCKETS + 1)
-    toxic = np.bincount(of_it[bad], minlength=BUCKETS + 1)
+    some, toxic = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)  # documents that have a feature
+    for k in range(bucket.shape[1]):
+        document, feature = np.divmod(np.unique(row[sentence] * np.int64(BUCKETS + 1) + bucket[:, k]), BUCKETS + 1)
+        some += np.bincount(feature, minlength=BUCKETS + 1)
+        toxic += np.bincount(feature, label[document] == 1, BUCKETS + 1)
     n, n1 = len(label), int((label == 1).sum())
     spread = np.sqrt(np.maximum(some / n * (1 - some / n), 1e-12) * (1 / n1 + 1 / max(n - n1, 1)))
     known = (some >= LEAST) & (np.abs(toxic / n1 - (some - toxic) / max(n - n1, 1)) >= CLEAR * spread)
