@@ -1,8 +1,13 @@
-"""The two batch jobs: load raw exports into a store, and write the report from it.
+"""The batch jobs: list and load raw exports, add auxiliary tables, write the report or tables behind figures.
 
-    spark-submit cropledger/jobs.py load ROOT PROJECT STORE [--version V ...]
+    spark-submit cropledger/jobs.py list ROOT PROJECT [--version V ...] [--scen S ...]
+    spark-submit cropledger/jobs.py load ROOT PROJECT STORE [--version V ...] [--scen S ...] [--query Q ...]
     spark-submit cropledger/jobs.py auxiliary STORE NAME PATH [--column ours=theirs ...]
-    spark-submit cropledger/jobs.py report STORE VERSION OUT --scenarios FILE --price-levels FILE --model LABEL
+    spark-submit cropledger/jobs.py report STORE VERSION OUT --scenarios FILE --price-levels FILE --model LABEL [--mapping NAME=FILE ...]
+    spark-submit cropledger/jobs.py figures STORE VERSION OUT --scenarios FILE --price-levels FILE [--figure NAME ...]
+
+--work names the shared folder for intermediates; by default it is the cluster's spark.checkpoint.dir. The folder of a
+run is removed when the job ends. A mapping is a table in Parquet, or CSV with a header, with our column names.
 """
 
 from __future__ import annotations
@@ -14,17 +19,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.functions.units import price_levels
-from cropledger.plans import report
+from cropledger.plans import figures, report
 from cropledger.plans.inputs import AUXILIARY, stored_inputs
-from cropledger.sources.dims import Dimensions, read_auxiliary
+from cropledger.session import WorkFolder
+from cropledger.sources import catalog as cat
+from cropledger.sources.dims import Dimensions, default_dimensions, read_auxiliary
 from cropledger.sources.store import Store, load_exports
 
 
+class RepeatedRows(ValueError):
+    """The assembled report has a key more than once."""
+
+
+#: Tables behind figures by name, for the figures job.
+FIGURES = {
+    name: getattr(figures, name)
+    for name in (
+        "area_snapshot", "land_snapshot", "yield_snapshot", "supply_use_grid", "price_index", "average_price", "prices_by_item",
+        "calories_2050", "wage_index", "employment_share_shown", "carbon_price_from_2025", "annual_co2", "cumulative_co2",
+        "cumulative_land_use_co2", "cumulative_farm_gases", "cumulative_water", "cumulative_fertiliser",
+    )
+}
+
+
+def listing(
+    spark: SparkSession, root: str, project: str, versions: Sequence[str] | None = None, scens: Sequence[str] | None = None
+) -> DataFrame:
+    """What a tree holds: level (version, scen, query) and name, sorted."""
+    found = cat.list_exports(spark, root, project)
+    levels = {"version": cat.versions(found), "scen": cat.scenarios(found, versions), "query": cat.queries(found, versions, scens)}
+    rows = [df.select(F.lit(k).alias("place"), F.lit(level).alias("level"), F.col(level).alias("name")) for k, (level, df) in enumerate(levels.items())]
+    return report.union_all(rows).orderBy("place", "name").drop("place")
+
+
 def load(
-    spark: SparkSession, root: str, project: str, store: Store, versions: Sequence[str] | None = None
-) -> list[str]:
-    """Every query of the chosen versions into the store."""
-    return load_exports(spark, root, project, store, versions=versions)
+    spark: SparkSession, root: str, project: str, store: Store, versions: Sequence[str] | None = None,
+    scens: Sequence[str] | None = None, queries: Sequence[str] | None = None,
+) -> list[str]:
+    """The chosen queries of the chosen versions and scenarios into the store; all unless some are named."""
+    return load_exports(spark, root, project, store, versions=versions, scens=scens, queries=queries)
+
+
+def own_dimensions(spark: SparkSession, files: dict[str, str]) -> Dimensions:
+    """The built-in dimensions with some of them read from files instead."""
+    default = default_dimensions(spark)
+    schemas = {name: getattr(default, name).schema.simpleString()[len("struct<"):-1].replace(":", " ") for name in files}
+    return default.with_tables(**{name: read_auxiliary(spark, path, schemas[name]) for name, path in files.items()})
 
 
 def add_auxiliary(store: Store, name: str, path: str, columns: dict[str, str] | None = None) -> None:
@@ -48,19 +88,37 @@ def build_report(
     *,
     dims: Dimensions | None = None,
     names: Sequence[str] | None = None,
+    work: WorkFolder | None = None,
 ) -> DataFrame:
-    """The whole report, checked, identical rows once."""
-    m = stored_inputs(store, version, scenarios, levels, dims)
-    return report.without_repeats(report.assemble(report.collect_tables(m, names), model))
+    """The whole report, checked: written to the work folder, so that a repeated key fails before anything is exported."""
+    work = work or WorkFolder(store.spark)
+    m = stored_inputs(store, version, scenarios, levels, dims, work=work)
+    whole = work.keep("report", report.assemble(report.without_shared(report.collect_tables(m, names)), model))
+    repeated = report.repeated_keys(whole).first()
+    if repeated:
+        raise RepeatedRows(str(repeated))
+    return whole
+
+
+def build_figures(
+    store: Store, version: str, scenarios: Sequence[str], levels: dict[int, float], names: Sequence[str], work: WorkFolder,
+) -> dict[str, DataFrame]:
+    """Tables behind figures, by name."""
+    m = stored_inputs(store, version, scenarios, levels, work=work)
+    return {name: FIGURES[name](m) for name in names}
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
-    job = jobs.add_parser("load")
-    for name in ("root", "project", "store"):
-        job.add_argument(name)
-    job.add_argument("--version", action="append")
+    for kind, names in {"list": ("root", "project"), "load": ("root", "project", "store")}.items():
+        job = jobs.add_parser(kind)
+        for name in names:
+            job.add_argument(name)
+        job.add_argument("--version", action="append")
+        job.add_argument("--scen", action="append")
+        if kind == "load":
+            job.add_argument("--query", action="append")
     job = jobs.add_parser("auxiliary")
     job.add_argument("store")
     job.add_argument("name", choices=sorted(AUXILIARY))
@@ -72,18 +130,42 @@ def main(arguments: Sequence[str] | None = None) -> None:
     for name in ("--scenarios", "--price-levels", "--model"):
         job.add_argument(name, required=True)
     job.add_argument("--single-file", action="store_true")
+    job.add_argument("--mapping", action="append", default=[])
+    job.add_argument("--work")
+    job = jobs.add_parser("figures")
+    for name in ("store", "version", "out"):
+        job.add_argument(name)
+    for name in ("--scenarios", "--price-levels"):
+        job.add_argument(name, required=True)
+    job.add_argument("--figure", action="append", choices=sorted(FIGURES))
+    job.add_argument("--work")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"cropledger {given.job}").getOrCreate()
+    if given.job == "list":
+        for row in listing(spark, given.root, given.project, given.version, given.scen).collect():
+            print(f"{row['level']}\t{row['name']}")
+        return
     store = Store(spark, given.store)
     if given.job == "load":
-        print("\n".join(load(spark, given.root, given.project, store, given.version)))
-    elif given.job == "auxiliary":
+        print("\n".join(load(spark, given.root, given.project, store, given.version, given.scen, given.query)))
+        return
+    if given.job == "auxiliary":
         add_auxiliary(store, given.name, given.path, dict(c.split("=", 1) for c in given.column))
-    else:
-        levels = price_levels(read_auxiliary(spark, given.price_levels, "year int, level double"))
-        whole = build_report(store, given.version, scenario_list(spark, given.scenarios), levels, given.model)
-        report.write_report(whole, given.out, single_file=given.single_file)
+        return
+    scenarios = scenario_list(spark, given.scenarios)
+    levels = price_levels(read_auxiliary(spark, given.price_levels, "year int, level double"))
+    work = WorkFolder(spark, given.work)
+    try:
+        if given.job == "figures":
+            for name, table in build_figures(store, given.version, scenarios, levels, given.figure or sorted(FIGURES), work).items():
+                table.write.mode("overwrite").parquet(f"{given.out}/{name}")
+        else:
+            dims = own_dimensions(spark, dict(x.split("=", 1) for x in given.mapping)) if given.mapping else None
+            whole = build_report(store, given.version, scenarios, levels, given.model, dims=dims, work=work)
+            report.write_report(whole, given.out, single_file=given.single_file)
+    finally:
+        work.drop()
 
 
 if __name__ == "__main__":

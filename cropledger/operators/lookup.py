@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 _HIT = "__hit"
 _COPIES = "__copies"
+# A list of members that travels as one value may have so many entries.
+MOST_MEMBERS = 100_000
 
 Keys = str | Sequence[str] | Mapping[str, str]
 
@@ -30,6 +32,13 @@ def _shown(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+def bounded(members: Column, what: str) -> Column:
+    """A list of members, or an error if it is too long to be a dimension."""
+    return F.when(F.size(members) <= MOST_MEMBERS, members).otherwise(
+        F.raise_error(F.lit(f"more than {MOST_MEMBERS} members: {what}"))
+    )
+
+
 def guard(df: DataFrame, broken: Column, message: Column) -> DataFrame:
     """Pass all rows through, but fail the job on one for which ``broken`` holds."""
     return df.where(F.when(broken, F.raise_error(message)).otherwise(F.lit(True)))
@@ -143,4 +152,4 @@ def replicate_over(df: DataFrame, column: str, members: Sequence) -> DataFrame:
 def replicate_over_observed(df: DataFrame, column: str, source: DataFrame, member: str) -> DataFrame:
     """Every row once per distinct member seen in another table, carried as one value, not as a join."""
     members = source.agg(F.array_sort(F.collect_set(member))).scalar()
-    return df.withColumn(column, members).withColumn(column, F.explode(column))
+    return df.withColumn(column, bounded(members, member)).withColumn(column, F.explode(column))

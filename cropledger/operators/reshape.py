@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from cropledger.functions.aggregates import only_value
 from cropledger.functions.text import code_parts
-from cropledger.operators.lookup import unique_rows
+from cropledger.operators.lookup import bounded, guard, unique_rows
+
+# An observed list of members becomes columns; more than this is not a dimension.
+MOST_COLUMNS = 2_000
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -19,11 +22,24 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def pivot_wider(
-    df: DataFrame, ids: Sequence[str], key: str, value: str, members: Sequence[str], fill: float | None = None
+    df: DataFrame, ids: Sequence[str], key: str, value: str, members: Sequence[str] | None = None, fill: float | None = None
 ) -> DataFrame:
-    """One column per member in a single shuffle; a repeated cell fails, an absent one is NULL or ``fill``."""
+    """One column per member in a single shuffle; a repeated cell fails, an absent one is NULL or ``fill``.
+
+    A row whose key is not among ``members`` fails too. Without ``members`` those that occur are taken, in order,
+    at the cost of a job over the keys.
+    """
+    if members is None:
+        seen = df.select(F.col(key).cast("string").alias("m")).distinct().limit(MOST_COLUMNS + 1).collect()
+        if len(seen) > MOST_COLUMNS or any(r["m"] is None for r in seen):
+            raise ValueError(f"{key} has a missing entry or more than {MOST_COLUMNS} members")
+        members = sorted(r["m"] for r in seen)
+    known = F.col(key).isin(list(members)) & F.col(key).isNotNull()
     cells = [only_value(F.col(key) == m, value, f"{key}={m}").alias(m) for m in members]
-    wide = df.groupBy(*ids).agg(*cells)
+    other = F.max(F.when(~F.coalesce(known, F.lit(False)), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    wide = df.groupBy(*ids).agg(*cells, other.alias("__other"))
+    message = F.concat(F.lit(f"{key} outside the listed members: "), F.col("__other"))
+    wide = guard(wide, F.col("__other").isNotNull(), message).drop("__other")
     return wide if fill is None else wide.fillna(fill, list(members))
 
 
@@ -54,7 +70,7 @@ def densify(
     if members is None:
         # Counting values keeps the cells whole here, so that their shuffle is shared and not computed twice.
         seen = F.struct(F.array_sort(F.collect_set(dim)).alias("members"), F.count(value).alias("known"))
-        listed = cells.agg(seen).scalar()["members"]
+        listed = bounded(cells.agg(seen).scalar()["members"], dim)
     else:
         listed = F.array(*[F.lit(m) for m in members])
     by_member = F.map_from_entries(F.collect_list(F.struct(F.col(dim), F.col(value))))
@@ -78,7 +94,8 @@ def complete_grid(
     """Rows of ``df`` on the cells of ``grid``, plus a ``fill`` row for every absent cell (per facet member)
     and every combination of the remaining columns. Missing values become ``fill``.
 
-    The member lists (facet, remaining attributes) are dimension-sized and travel as one value each.
+    The member lists (facet, remaining attributes) are dimension-sized and travel as one value each; one longer than
+    ``lookup.MOST_MEMBERS`` fails.
     """
     wanted = [*cell] if facet is None else [*cell, facet]
     others = [c for c in df.columns if c not in (*wanted, value)]
@@ -88,12 +105,13 @@ def complete_grid(
     if sets:
         places = places.withColumn("__seen", df.agg(F.struct(*sets)).scalar())
     if facet is not None:
-        places = places.select("*", F.explode("__seen.members").alias(facet))
+        places = places.select("*", F.explode(bounded(F.col("__seen.members"), facet)).alias(facet))
     # One join finds the rows on the grid and the places without any; the latter fan out to all combinations.
     joined = places.join(df.withColumn("__hit", F.lit(True)), wanted, "left")
     if others:
         own = F.array(F.struct(*others))
-        joined = joined.withColumn("__o", F.explode(F.when(F.col("__hit"), own).otherwise(F.col("__seen.combos"))))
+        combos = bounded(F.col("__seen.combos"), "attribute combinations")
+        joined = joined.withColumn("__o", F.explode(F.when(F.col("__hit"), own).otherwise(combos)))
     filled = F.coalesce(F.col(value), F.lit(fill))
     shown = {c: F.col(f"__o.{c}") for c in others} | {value: filled}
     return joined.select(*[shown[c].alias(c) if c in shown else F.col(c) for c in df.columns])

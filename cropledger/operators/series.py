@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cropledger.functions.aggregates import only_value
 from cropledger.operators.lookup import guard, join_null_safe, unique_rows
 
 
@@ -33,8 +34,8 @@ def change_from_first(
 
 
 def index_to_year(df: DataFrame, by: Sequence[str], year: str, value: str, base: int, into: str | None = None) -> DataFrame:
-    """Value over the value of the base year of its series."""
-    at_base = df.groupBy(*by).agg(F.max(F.when(F.col(year) == base, F.col(value))).alias("__base"))
+    """Value over the value of the base year of its series; two rows in that year fail."""
+    at_base = df.groupBy(*by).agg(only_value(F.col(year) == base, value, f"{year}={base}").alias("__base"))
     return (
         join_null_safe(df, at_base, by)
         .withColumn(into or value, F.try_divide(F.col(value), F.col("__base")))
@@ -45,9 +46,12 @@ def index_to_year(df: DataFrame, by: Sequence[str], year: str, value: str, base:
 def freeze_at(
     df: DataFrame, by: Sequence[str], year: str, value: str, rules: Sequence[tuple[Column | None, int]], into: str | None = None
 ) -> DataFrame:
-    """Every year takes the value of a base year; the first rule whose condition holds names that year."""
+    """Every year takes the value of a base year; the first rule whose condition holds names that year.
+
+    Two rows of a series in a base year fail.
+    """
     bases = sorted({y for _, y in rules})
-    frozen = df.groupBy(*by).agg(*[F.max(F.when(F.col(year) == y, F.col(value))).alias(f"__at_{y}") for y in bases])
+    frozen = df.groupBy(*by).agg(*[only_value(F.col(year) == y, value, f"{year}={y}").alias(f"__at_{y}") for y in bases])
     choice = F.lit(None)
     for condition, y in reversed(list(rules)):
         at = F.col(f"__at_{y}")

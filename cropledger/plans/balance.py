@@ -16,8 +16,13 @@ from cropledger.plans.inputs import ModelInputs, report_rows
 BRANCH = "report"
 KEYS = ["branch", "scenario", "region", "sector", "year"]
 ROW = [*KEYS, "element", "value"]
-# Elements that reach the report.
+# Elements that reach the report, those that quantities and prices are made of.
 REPORTED = ["Food", "Feed", "Production", "Revenue", "Import", "Export"]
+AMOUNTS = ["Food", "Feed", "Production", "Import", "Export"]
+PRICED = ["Production", "Revenue"]
+# Label formats of the input.
+REGIONAL, TOTAL, TRADED = "regional |_", "total |_", "traded |_"
+IMPORTED, IRON, CROP_LEAF = "imported", "iron", "C4$|Tree$"
 QUANTITIES = ["EXPO", "IMPO", "PROD", "NETT", "FOOD", "FEED", "CONS", "OTHR"]
 FISH_AND_OTHER = "FSH_OAP"
 LIVESTOCK = ["RUM", "NRM", "DRY"]
@@ -28,7 +33,7 @@ def demand(m: ModelInputs) -> DataFrame:
     uses = m.native_level("AgBal", BRANCH).where(F.col("Units") == "Mt")
     return series_sum(
         uses, "branch", "region", recode_first_match(F.col("sector"), USE_CLASSES).alias("element"),
-        without(F.col("input"), "regional |_").alias("sector"),
+        without(F.col("input"), REGIONAL).alias("sector"),
     ).select(*ROW)
 
 
@@ -37,7 +42,7 @@ def storage(m: ModelInputs) -> DataFrame:
     tables = {"AgStorageClose": "ClosingStockBeforeLoss", "AgStorageOpen": "Opening stocks", "AgStorageCloseLoss": "Closing stocks"}
     stocks = union_all(
         [m.native_level(t, BRANCH).select(*KEYS, "value", F.lit(e).alias("element")) for t, e in tables.items()]
-    ).withColumn("sector", without(F.col("sector"), "regional |_"))
+    ).withColumn("sector", without(F.col("sector"), REGIONAL))
     wide = pivot_wider(stocks, KEYS, "element", "value", list(tables.values()))
     lost = wide.withColumn("Stock loss", F.col("ClosingStockBeforeLoss") - F.col("Closing stocks"))
     measures = ["Closing stocks", "Opening stocks", "Stock loss"]
@@ -45,16 +50,16 @@ def storage(m: ModelInputs) -> DataFrame:
 
 
 def imports(m: ModelInputs) -> DataFrame:
-    sources = m.native_level("RegAgsource", BRANCH).where(matches(F.col("subsector"), "imported"))
+    sources = m.native_level("RegAgsource", BRANCH).where(matches(F.col("subsector"), IMPORTED))
     return series_sum(
-        sources, "branch", "region", without(F.col("sector"), "total |_").alias("sector"), F.lit("Import").alias("element")
+        sources, "branch", "region", without(F.col("sector"), TOTAL).alias("sector"), F.lit("Import").alias("element")
     ).select(*ROW)
 
 
 def exports(m: ModelInputs) -> DataFrame:
     """Exports by the region named in the trade label."""
-    traded = m.native_level("TradedAgsource", BRANCH).where((F.col("Units") == "Mt") & ~matches(F.col("sector"), "iron"))
-    traded = traded.withColumn("sector", without(F.col("sector"), "traded |_"))
+    traded = m.native_level("TradedAgsource", BRANCH).where((F.col("Units") == "Mt") & ~matches(F.col("sector"), IRON))
+    traded = traded.withColumn("sector", without(F.col("sector"), TRADED))
     partner = trade_partner(F.col("subsector"), F.col("sector"))
     return traded.withColumns({"region": partner, "element": F.lit("Export")}).select(*ROW)
 
@@ -80,7 +85,7 @@ def supply_use(m: ModelInputs) -> DataFrame:
 
 def area_and_yield(m: ModelInputs) -> DataFrame:
     """Harvest area in Mha and yield of every commodity with land."""
-    leaf = F.lower(without(F.col("LandLeaf"), "C4$|Tree$")).alias("sector")
+    leaf = F.lower(without(F.col("LandLeaf"), CROP_LEAF)).alias("sector")
     land = series_sum(m.native_level("Aggland"), "region", leaf)
     land = land.select("scenario", "region", "sector", "year", thousand_km2_to_million_ha(F.col("value")).alias("Area"))
     made = production(m).withColumnRenamed("value", "Production")
@@ -105,15 +110,31 @@ def full_balance(m: ModelInputs) -> DataFrame:
     return m.stage("full_balance", union_all([supply_use(m), area_and_yield(m), price_and_revenue(m)]))
 
 
-def _report_elements(m: ModelInputs) -> DataFrame:
-    """The reported elements of the balance only: area, yield, price and stocks are not computed."""
-    made = pivot_longer(priced_production(m).drop("Price"), ["Production", "Revenue"], "element", "value").select(*ROW)
-    return union_all([demand(m), imports(m), exports(m), made]).where(F.col("element").isin(REPORTED))
-
-
-def items(m: ModelInputs) -> DataFrame:
-    """One row per scenario, report code, item and year with the reported elements and net trade as columns."""
-    rows = m.code_of(_report_elements(m))
+def _elements(m: ModelInputs, wanted: list[str]) -> DataFrame:
+    """Balance rows of the wanted elements, from the tables those need and no others."""
+    parts = []
+    if {"Food", "Feed"} & set(wanted):
+        parts.append(demand(m))
+    if "Import" in wanted:
+        parts.append(imports(m))
+    if "Export" in wanted:
+        parts.append(exports(m))
+    if "Revenue" in wanted:
+        parts.append(pivot_longer(priced_production(m).drop("Price"), ["Production", "Revenue"], "element", "value").select(*ROW))
+    elif "Production" in wanted:
+        parts.append(production(m))
+    return union_all(parts).where(F.col("element").isin(wanted))
+
+
+def items(m: ModelInputs, wanted: list[str] = REPORTED) -> DataFrame:
+    """One row per scenario, report code, item and year with the reported elements and net trade as columns.
+
+    Elements that are not wanted are not read and stay 0, and rows that only they have are absent. Where
+    intermediates are shared, all elements are computed once.
+    """
+    if m.shares:
+        wanted = REPORTED
+    rows = m.code_of(_elements(m, wanted))
     cells = [
         F.coalesce(strict_sum_where(F.col("element") == e, "value"), F.lit(0.0)).alias(e) for e in REPORTED
     ]
@@ -133,7 +154,7 @@ def items(m: ModelInputs) -> DataFrame:
     summed = labelled.groupBy("scenario", "Region", "Item", "year").agg(
         *[strict_sum(e).alias(e) for e in (*REPORTED, "NETT")]
     )
-    return m.stage("balance_items", summed)
+    return m.stage("balance_items", summed) if wanted == REPORTED else summed
 
 
 def _thousand_t(amount: Column) -> Column:
@@ -142,7 +163,7 @@ def _thousand_t(amount: Column) -> Column:
 
 def quantities_by_code(m: ModelInputs) -> DataFrame:
     """EXPO IMPO PROD NETT FOOD FEED CONS OTHR in 1000 t."""
-    wide = items(m).select(
+    wide = items(m, AMOUNTS).select(
         F.col("scenario").alias("Scenario"), "Region", F.col("year").alias("Year"), "Item",
         F.col("Export").alias("EXPO"), F.col("Import").alias("IMPO"), F.col("Production").alias("PROD"), "NETT",
         F.col("Food").alias("FOOD"), F.col("Feed").alias("FEED"),
@@ -159,16 +180,16 @@ def quantities(m: ModelInputs, *, with_livestock_total: bool = False) -> DataFra
     return region_rollup(rows)
 
 
-def producer_price_by_code(m: ModelInputs) -> DataFrame:
+def producer_price_by_code(m: ModelInputs, wanted: list[str] = REPORTED) -> DataFrame:
     """XPRP with production as ``weight``; nothing produced leaves the price NULL."""
     price = m.money(F.try_divide("Revenue", "Production"), 2015, 1975) * 1000
     return report_rows(
-        items(m).where(F.col("Item") != FISH_AND_OTHER).withColumn("weight", F.col("Production")), "weight",
+        items(m, wanted).where(F.col("Item") != FISH_AND_OTHER).withColumn("weight", F.col("Production")), "weight",
         Scenario=F.col("scenario"), Year=F.col("year"), Variable="XPRP", Unit="2015 USD/t", Value=price,
     )
 
 
 def producer_price(m: ModelInputs) -> DataFrame:
     """XPRP and its copy XPRX, production weighted."""
-    rolled = region_rollup(producer_price_by_code(m), weight="weight").where(F.col("Value").isNotNull())
+    rolled = region_rollup(producer_price_by_code(m, PRICED), weight="weight").where(F.col("Value").isNotNull())
     return replicate_over(rolled.drop("Variable"), "Variable", ["XPRP", "XPRX"]).select(*rolled.columns)

@@ -49,17 +49,16 @@ def supply_use_grid(m: ModelInputs) -> DataFrame:
 
 
 def price_index(m: ModelInputs, base: int = 2020) -> DataFrame:
-    """World producer prices relative to the base year, one column per year."""
+    """World producer prices relative to the base year, one column per year that occurs."""
     world = balance.producer_price(m).where((F.col("Region") == WORLD) & (F.col("Variable") == "XPRP"))
     ids = [c for c in world.columns if c not in ("Year", "Value")]
     index = index_to_year(world, ids, "Year", "Value", base).withColumn("Year", F.col("Year").cast("string"))
-    years = [str(y) for y in range(m.years[0], m.years[1] + 1, 5)]
-    return pivot_wider(index, ids, "Year", "Value", years)
+    return pivot_wider(index, ids, "Year", "Value")
 
 
 def average_price(m: ModelInputs) -> DataFrame:
     """Producer price over regions and items, production weighted."""
-    priced = balance.producer_price_by_code(m).where(F.col("Value").isNotNull())
+    priced = balance.producer_price_by_code(m, balance.PRICED).where(F.col("Value").isNotNull())
     return priced.groupBy("Scenario", "Year", "Variable", "Unit").agg(weighted_mean("Value", "weight").alias("Value"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cropledger.functions.units import deflate
 from cropledger.operators.access import FIRST_YEAR, LAST_YEAR, in_years, pluck, to_report_region
 from cropledger.operators.lookup import strict_lookup
-from cropledger.session import fresh_folder, write_and_read_back
+from cropledger.session import WorkFolder
 from cropledger.sources.dims import Dimensions, default_dimensions
 from cropledger.sources.store import Store
 
@@ -23,7 +23,7 @@ class ModelInputs:
     """Query tables and auxiliary tables by name, dimensions, scenario list and price levels.
 
     ``stage`` may write an intermediate that several indicators share and read it back; by default
-    it stays a lazy plan.
+    it stays a lazy plan. ``shares`` says that it does, so that a shared intermediate is worth computing in full.
     """
 
     table: Callable[[str], DataFrame]
@@ -32,6 +32,7 @@ class ModelInputs:
     price_levels: Mapping[int, float]
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR)
     stage: Callable[[str, DataFrame], DataFrame] = field(default=lambda name, df: df)
+    shares: bool = False
     _plucked: dict = field(default_factory=dict, repr=False, compare=False)
 
     def _once(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
@@ -82,11 +83,14 @@ def stored_inputs(
     dims: Dimensions | None = None,
     *,
     keep_stages: bool = True,
+    work: WorkFolder | None = None,
 ) -> ModelInputs:
     """Inputs from a store: query tables pruned to one version, auxiliary tables as they are.
 
-    ``keep_stages`` writes the intermediates that several indicators share to the shared folder.
+    ``keep_stages`` writes the intermediates that several indicators share to ``work``, or to a folder of their own
+    below the shared one; the caller drops it.
     """
+    work = work or WorkFolder(store.spark)
 
     def table(name: str) -> DataFrame:
         return store.load(name) if name in AUXILIARY else store.load(name, versions=[version])
@@ -95,10 +99,10 @@ def stored_inputs(
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         if name not in kept:
-            kept[name] = write_and_read_back(df, fresh_folder(store.spark))
+            kept[name] = work.keep(f"stage-{name}", df)
         return kept[name]
 
-    extra = {"stage": stage} if keep_stages else {}
+    extra = {"stage": stage, "shares": True} if keep_stages else {}
     return ModelInputs(table, dims or default_dimensions(store.spark), scenarios, price_levels, **extra)
 
 

@@ -65,7 +65,8 @@ def harvested_2015(m: ModelInputs) -> DataFrame:
 def climate_yield_effect(m: ModelInputs) -> DataFrame:
     """YECC: percent yield change under climate change, base-area weighted, for every scenario that has it."""
     yields = m.table("exogenous_yield").where((F.col("year") % 5 == 0) & F.col("year").between(*m.years))
-    both = pivot_wider(yields, ["region", "irr", "crop", "year"], "scenario", "value", ["nocc", "rcp7p0"])
+    compared = yields.where(F.col("scenario").isin("nocc", "rcp7p0"))
+    both = pivot_wider(compared, ["region", "irr", "crop", "year"], "scenario", "value", ["nocc", "rcp7p0"])
     effect = both.withColumn("effect", (F.try_divide("rcp7p0", "nocc") - 1) * 100)
     base = harvested_2015(m).where(
         (F.col("scenario") == fixed.BASE_SCENARIO) & ~among(F.col("LandLeaf"), ENERGY_LEAVES)

@@ -78,9 +78,16 @@ def assemble(tables: Mapping[str, DataFrame], model: str) -> DataFrame:
     return union_all(list(tables.values())).withColumn("Model", F.lit(model)).select(*EXPORT_COLUMNS)
 
 
-def without_repeats(report: DataFrame) -> DataFrame:
-    """Identical rows once: the energy-crop area rows arrive with two of the tables."""
-    return report.dropDuplicates()
+def without_shared(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables without rows that arrive with another one too: land cover repeats the energy-crop rows of area.
+
+    Which rows those are is told by table and variable, so that neither the last bit of a sum nor two real rows that
+    happen to be equal decide.
+    """
+    kept = dict(tables)
+    if {"area", "land_cover"} <= set(kept):
+        kept["land_cover"] = kept["land_cover"].where(F.col("Variable") != "AREA")
+    return kept
 
 
 def repeated_keys(report: DataFrame) -> DataFrame:

@@ -37,6 +37,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
     return spark
 
 
+# Folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
@@ -47,15 +51,17 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="cropledger-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="cropledger-")
+            atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+        folder = _LOCAL[app]
     return folder.rstrip("/")
 
 
-def fresh_folder(spark: SparkSession) -> str:
-    """A path of its own below the shared folder."""
-    return f"{shared_folder(spark)}/cropledger-{uuid.uuid4().hex}"
+def fresh_folder(spark: SparkSession, root: str | None = None) -> str:
+    """A path of its own below ``root``, by default the shared folder."""
+    return f"{(root or shared_folder(spark)).rstrip('/')}/cropledger-{uuid.uuid4().hex}"
 
 
 def _located(spark: SparkSession, path: str):
@@ -69,6 +75,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
+def file_listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of change of the files at a path: differs once the input was written anew."""
+    store, target = _located(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in store.listStatus(target)))
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     store, target = _located(spark, path)
     return store.exists(target)
@@ -89,11 +101,11 @@ def write_and_read_back(df: DataFrame, path: str) -> DataFrame:
 
 
 class WorkFolder:
-    """Written intermediates of one run, by name, in a folder of its own below the shared one."""
+    """Written intermediates of one run, by name, in a folder of its own below the shared one or another given."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.path = fresh_folder(spark)
+        self.path = fresh_folder(spark, root)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table and read it back."""

@@ -6,6 +6,7 @@ part files as Spark writes them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,16 @@ from pyspark.sql import functions as F
 
 from cropledger.operators.access import optional_filter
 
+def literal_path(path: str) -> str:
+    """A path that Spark takes for itself and not for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def without_scheme(path: str) -> str:
+    """Path without scheme, as listings and scans spell it differently."""
+    return re.sub(r"^[a-z0-9+.-]+:/*", "/", path)
+
+
 LEVELS = ("version", "scen", "query")
 
 
@@ -22,14 +33,17 @@ class NotAvailable(LookupError):
 
 def list_exports(spark: SparkSession, root: str, project: str, glob: str = "*.csv") -> DataFrame:
     """path, version, scen, query of every file below ``root/project``."""
+    top = f"{root.rstrip('/')}/{project}"
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .load(f"{root.rstrip('/')}/{project}")
+        .load(literal_path(top))
         .select("path")
     )
-    below = F.element_at(F.split("path", f"/{project}/"), -1)
+    # What follows the listed folder, cut off as text: folders below may be named like the project.
+    prefix = f"{without_scheme(top)}/"
+    below = F.substr("path", F.locate(prefix, F.col("path")) + F.lit(len(prefix)))
     parts = F.split(below, "/")
     query = F.regexp_replace(F.get(parts, F.lit(2)), r"\.csv$", "")
     return files.select(

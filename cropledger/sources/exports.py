@@ -1,8 +1,9 @@
 """Wide CSV exports to long query tables.
 
 A file has a title line, a header line that starts with ``scenario``, and one column per year; the
-title and header may come again further down. Files are grouped by header, read with that header as
-schema, cleaned, and turned long on the executors; the driver sees paths and distinct headers only.
+title and header may come again further down, the header in another form too. Files are grouped by header, read with
+that header as schema, cleaned, and turned long on the executors; the driver sees paths and distinct headers only. A
+file with several headers is split into their blocks first. What is left out is reported: files, rows and cells.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ import re
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropledger.operators.reshape import union_all
+from cropledger.sources.catalog import literal_path, without_scheme
 
 # Fixed patterns: generated or trailing column names, the date cut off a scenario, year columns.
 UNNAMED = re.compile(r"^X|\...")
@@ -27,7 +29,8 @@ HEADER_START = r'^"?scenario"?,'
 
 @dataclass(frozen=True)
 class QueryTable:
-    """A long table, the cells that could not be read as numbers, and (path, reason) of the files left out.
+    """A long table, the cells that could not be read as numbers, the rows left out for a blank cell (path, text), and
+    (path, reason) of the files left out.
 
     ``observed`` counts the bad cells (``bad``) while ``rows`` is written, so that the rejected cells
     need a scan of their own only where there are any.
@@ -35,13 +38,19 @@ class QueryTable:
 
     rows: DataFrame
     rejected_cells: DataFrame
+    rejected_rows: DataFrame
     rejected_files: list[tuple[str, str]]
     observed: Observation
 
 
+def decoded(path: Column) -> Column:
+    """A file path as listings show it: percent escapes resolved, a plus sign left alone."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def headers_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Distinct (path, header line) pairs."""
-    lines = spark.read.text(paths).select(F.url_decode("_metadata.file_path").alias("path"), "value")
+    lines = spark.read.text([literal_path(p) for p in paths]).select(decoded(F.col("_metadata.file_path")).alias("path"), "value")
     return lines.where(F.col("value").rlike(HEADER_START)).distinct()
 
 
@@ -51,26 +60,42 @@ def _named(header: str) -> list[str]:
     return [name.strip() or f"...{i}" for i, name in enumerate(fields, start=1)]
 
 
-def _plain(path: str) -> str:
-    """Path without scheme, as listings and scans spell it differently."""
-    return re.sub(r"^[a-z0-9+.-]+:/*", "/", path)
+def _raw_files(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Cells c0, c1, ... of files that share a header, with their path."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    raw = spark.read.schema(schema).option("header", "false").option("enforceSchema", "true").csv([literal_path(p) for p in paths])
+    return raw.select("*", decoded(F.col("_metadata.file_path")).alias("__path"))
+
+
+def _raw_blocks(spark: SparkSession, paths: list[str], header: str, names: list[str]) -> DataFrame:
+    """The same for the lines below one header of files that have several."""
+    files = spark.read.text([literal_path(p) for p in paths], wholetext=True)
+    lines = files.select(decoded(F.col("_metadata.file_path")).alias("__path"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
+    above = Window.partitionBy("__path").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    under = lines.withColumn("header", F.last(F.when(F.col("line").rlike(HEADER_START), F.col("line")), ignorenulls=True).over(above))
+    own = under.where((F.col("header") == header) & (F.trim("line") != ""))
+    kinds = ", ".join(f"c{i} string" for i in range(len(names)))
+    return own.select(F.from_csv("line", kinds).alias("cells"), "__path").select("cells.*", "__path")
 
 
-def _read_same_header(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+def _tidy(raw: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows without a blank cell, and (path, text) of those that have one; titles and repeated headers are neither."""
     kept = [(i, n) for i, n in enumerate(names) if not UNNAMED.search(n)]
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    raw = spark.read.schema(schema).option("header", "false").option("enforceSchema", "true").csv(paths)
 
     def cell(i: int):
         text = F.trim(F.col(f"c{i}"))
         return F.when(~text.isin("", "NA"), text)
 
-    tidy = raw.select(*[cell(i).alias(n) for i, n in kept], F.url_decode("_metadata.file_path").alias("__path"))
-    return (
-        tidy.dropna("any")
-        .where(F.col("scenario") != "scenario")
-        .withColumn("scenario", F.regexp_replace("scenario", SCENARIO_DATE, ""))
-    )
+    cells = raw.select(*[cell(i).alias(n) for i, n in kept], "__path")
+    first, *others = [n for _, n in kept]
+    title = F.coalesce(*[F.col(n) for n in others]).isNull() if others else F.lit(False)
+    body = cells.where(~title & ~F.coalesce(F.col("scenario") == "scenario", F.lit(False)))
+    whole = F.lit(True)
+    for _, n in kept:
+        whole = whole & F.col(n).isNotNull()
+    shown = F.to_json(F.struct(*[n for _, n in kept]), {"ignoreNullFields": "false"})
+    dropped = body.where(~whole).select(F.col("__path").alias("path"), shown.alias("text"))
+    return body.where(whole).withColumn("scenario", F.regexp_replace("scenario", SCENARIO_DATE, "")), dropped
 
 
 def gather_years(df: DataFrame, ids: list[str]) -> DataFrame:
@@ -87,21 +112,23 @@ def read_query(spark: SparkSession, paths: list[str]) -> QueryTable:
     """All files of one query as one long table with the source folder as ``ss``."""
     seen = defaultdict(set)
     for row in headers_of(spark, paths).collect():
-        seen[_plain(row["path"])].add(row["value"].rstrip("\r"))
+        seen[without_scheme(row["path"])].add(row["value"].rstrip("\r"))
     groups: dict[str, list[str]] = defaultdict(list)
-    without, unclear = [], []
+    mixed: dict[str, list[str]] = defaultdict(list)
+    rejected = []
     for path in paths:
-        found = seen.get(_plain(path), set())
-        if len(found) == 1:
-            groups[next(iter(found))].append(path)
-        else:
-            (unclear if found else without).append(path)
-    rejected = [(p, "no header line") for p in without] + [(p, "several different header lines") for p in unclear]
-    parts = []
-    for header, files in sorted(groups.items()):
-        tidy = _read_same_header(spark, files, _named(header))
-        ids = [c for c in tidy.columns if not YEAR.match(c)]
-        parts.append(gather_years(tidy, ids))
+        found = seen.get(without_scheme(path), set())
+        if not found:
+            rejected.append((path, "no header line"))
+        for header in found:
+            (groups if len(found) == 1 else mixed)[header].append(path)
+    raws = [(_raw_files(spark, files, _named(header)), _named(header)) for header, files in sorted(groups.items())]
+    raws += [(_raw_blocks(spark, files, header, _named(header)), _named(header)) for header, files in sorted(mixed.items())]
+    parts, dropped = [], []
+    for raw, names in raws:
+        tidy, without = _tidy(raw, names)
+        parts.append(gather_years(tidy, [c for c in tidy.columns if not YEAR.match(c)]))
+        dropped.append(without)
     if not parts:
         raise ValueError(f"no readable export among {len(paths)} files")
     long = union_all(parts)
@@ -117,4 +144,4 @@ def read_query(spark: SparkSession, paths: list[str]) -> QueryTable:
     observed = Observation()
     seen_cells = long.observe(observed, F.count_if(F.col("value").isNull()).alias("bad"))
     rows = seen_cells.where(F.col("value").isNotNull()).drop("__path", "raw")
-    return QueryTable(rows, bad, rejected, observed)
+    return QueryTable(rows, bad, union_all(dropped), rejected, observed)

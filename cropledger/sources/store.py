@@ -55,8 +55,8 @@ def load_exports(
 ) -> list[str]:
     """Catalogue, select, read, clean and save every selected query; returns the names saved.
 
-    Each file is parsed once for its table. What could not be read goes to ``rejected_files`` and
-    ``rejected_cells``, which hold the findings of the last load.
+    Each file is parsed once for its table. What could not be read goes to ``rejected_files``, ``rejected_rows`` (rows
+    with a blank cell) and ``rejected_cells``, which hold the findings of the last load.
     """
     chosen = cat.select_exports(
         cat.list_exports(spark, root, project), in_versions=versions, in_scens=scens, in_queries=queries
@@ -64,7 +64,7 @@ def load_exports(
     paths: dict[str, list[str]] = {}
     for row in chosen.select("query", "path").collect():
         paths.setdefault(row["query"], []).append(row["path"])
-    saved, bad_files, bad_cells = [], [], []
+    saved, bad_files, bad_rows, bad_cells = [], [], [], []
     for name, files in sorted(paths.items()):
         try:
             table = read_query(spark, sorted(files))
@@ -74,9 +74,12 @@ def load_exports(
         store.save(name, table.rows, ["version", "scen"])
         saved.append(name)
         bad_files += [(name, *found) for found in table.rejected_files]
+        bad_rows.append(table.rejected_rows.select(F.lit(name).alias("query"), "path", "text"))
         if table.observed.get["bad"]:
             bad_cells.append(table.rejected_cells.select(F.lit(name).alias("query"), "path", "year", "text"))
     store.save("rejected_files", literal_table(spark, {"query": "string", "path": "string", "reason": "string"}, bad_files))
+    none = literal_table(spark, {"query": "string", "path": "string", "text": "string"}, [])
+    store.save("rejected_rows", union_all([none, *bad_rows]))
     none = literal_table(spark, {"query": "string", "path": "string", "year": "int", "text": "string"}, [])
     store.save("rejected_cells", union_all([none, *bad_cells]))
     return saved

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.operators.reshape import union_all
 from cropledger.plans import balance, emissions, figures, food, labour, land, report, socio, yields
+from cropledger.session import WorkFolder, file_listing, fresh_folder
+from cropledger.sources.dims import read_auxiliary
 from cropledger.star.model import StarModel
 from cropledger.star.registry import query
 from cropledger.star.sql import REPORT, RESULT_OF, text, wmean
@@ -152,14 +155,33 @@ def farm_gases_with_totals(spark, sf):
 _ALL = " UNION ALL ".join(f"SELECT {REPORT}, Value FROM {RESULT_OF[name]}" for name in report.TABLES)
 
 
-def _whole(spark, sf, names=None):
-    """The report; intermediates that several tables share are written once."""
-    return report.assemble(report.collect_tables(_inputs(spark, sf, keep_stages=True), names), "MODEL")
+# Written reports of this process by (application, tables): every check of the whole report reads the same rows.
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _written(spark, sf):
+    """All report tables as ``name`` and the report columns, assembled once and written."""
+    key = (spark.sparkContext.applicationId, sf, file_listing(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    if key not in _WRITTEN:
+        tables = report.collect_tables(_inputs(spark, sf, keep_stages=True))
+        labelled = [df.withColumn("name", F.lit(name)) for name, df in tables.items()]
+        _WRITTEN[key] = WorkFolder(spark).keep("report", union_all(labelled))
+    return _WRITTEN[key]
+
+
+def _tables(spark, sf):
+    """The written report by table."""
+    rows = _written(spark, sf)
+    return {name: rows.where(F.col("name") == name).drop("name") for name in report.TABLES}
+
+
+def _whole(spark, sf):
+    return report.assemble(_tables(spark, sf), "MODEL")
 
 
 @query("report_assemble", f"SELECT DISTINCT 'MODEL' AS Model, {REPORT}, round(Value, 6) AS Value FROM ({_ALL})")
 def report_assemble(spark, sf):
-    return rounded(report.without_repeats(_whole(spark, sf)))
+    return rounded(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"))
 
 
 @query("report_duplicate_keys", f"SELECT {REPORT}, count(*) AS n FROM ({_ALL}) GROUP BY ALL HAVING count(*) > 1")
@@ -167,13 +189,9 @@ def report_duplicate_keys(spark, sf):
     return report.repeated_keys(_whole(spark, sf))
 
 
-_SOME = ["population", "wage", "water", "fertiliser", "producer_price"]
-_SOME_SQL = " UNION ALL ".join(f"SELECT {REPORT}, Value FROM {RESULT_OF[name]}" for name in _SOME)
-
-
-@query("report_coverage", f"SELECT Scenario, Variable, count(*) AS n, min(Year) AS first_year, max(Year) AS last_year FROM ({_SOME_SQL}) GROUP BY ALL")
+@query("report_coverage", f"SELECT Scenario, Variable, count(*) AS n, min(Year) AS first_year, max(Year) AS last_year FROM ({_ALL}) GROUP BY ALL")
 def report_coverage(spark, sf):
-    return report.coverage(_whole(spark, sf, _SOME))
+    return report.coverage(_whole(spark, sf))
 
 
 @query("report_missing_values", f"SELECT count(*) - count(Scenario) AS \"Scenario\", count(*) - count(Region) AS \"Region\", count(*) - count(Item) AS \"Item\", count(*) - count(Variable) AS \"Variable\", "
@@ -182,9 +200,9 @@ def report_missing_values(spark, sf):
     return report.missing_values(balance.producer_price_by_code(_inputs(spark, sf)).drop("weight"))
 
 
-@query("report_table_rows", " UNION ALL ".join(f"SELECT {text(name)} AS name, count(*) AS n FROM {RESULT_OF[name]}" for name in _SOME))
+@query("report_table_rows", " UNION ALL ".join(f"SELECT {text(name)} AS name, count(*) AS n FROM {RESULT_OF[name]}" for name in report.TABLES))
 def report_table_rows(spark, sf):
-    return report.table_rows(report.collect_tables(_inputs(spark, sf, keep_stages=True), _SOME))
+    return report.table_rows(_tables(spark, sf))
 
 
 @query("report_negative_values", "SELECT Scenario, Region, Item, Variable, Year, Unit, Value FROM r_quant WHERE Variable = 'NETT' AND Value < 0")
@@ -192,9 +210,29 @@ def report_negative_values(spark, sf):
     return report.negative_values(balance.quantities(_inputs(spark, sf)), "NETT")
 
 
-@query("report_variables", "SELECT DISTINCT Variable FROM r_quant")
+@query("report_negative_prices", f"SELECT 'MODEL' AS Model, {REPORT}, round(Value, 6) AS Value FROM ({_ALL}) WHERE Variable = 'XPRP' AND Value < 0")
+def report_negative_prices(spark, sf):
+    return rounded(report.negative_values(_whole(spark, sf), "XPRP"))
+
+
+@query("report_missing_entries", "SELECT " + ", ".join(f'count(*) - count({c}) AS "{c}"' for c in [*REPORT.split(", "), "Value"]) + f" FROM ({_ALL})")
+def report_missing_entries(spark, sf):
+    """Missing entries of the whole report, before the contract stops them."""
+    return report.missing_values(_written(spark, sf).drop("name"))
+
+
+@query("report_variables", f"SELECT DISTINCT Variable FROM ({_ALL})")
 def report_variables(spark, sf):
-    return report.distinct_variables(balance.quantities(_inputs(spark, sf)))
+    return report.distinct_variables(_whole(spark, sf))
+
+
+@query("report_export_csv", f"SELECT DISTINCT 'MODEL' AS \"Model\", {REPORT}, round(Value, 6) AS \"Value\" FROM ({_ALL})")
+def report_export_csv(spark, sf):
+    """All tables exported and read back."""
+    path = f"{fresh_folder(spark)}/report.csv"
+    report.write_report(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"), path)
+    schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
+    return rounded(read_auxiliary(spark, path, schema))
 
 
 @query("report_spot_check", f"SELECT {REPORT}, round(Value, 6) AS Value FROM r_emplshare WHERE Scenario = 'BAU' AND Year = 2015")

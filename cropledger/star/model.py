@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cropledger.operators.lookup import strict_lookup
 from cropledger.plans.inputs import ModelInputs
-from cropledger.session import fresh_folder, write_and_read_back
+from cropledger.session import file_listing, fresh_folder, write_and_read_back
 from cropledger.sources.dims import Dimensions, default_dimensions
 from cropledger.star import labels as lb
 
@@ -36,8 +36,8 @@ SCHEMAS = {
     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
 
-# Written cubes of this process by (application, tables): loaded once, read by every indicator that follows.
-_CUBES: dict[tuple[str, str], str] = {}
+# Written cubes of this process by (application, tables, their files): loaded once, read by every indicator that follows.
+_CUBES: dict[tuple[str, str, tuple], str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,14 +51,23 @@ def pick(members: Sequence, index: Column) -> Column:
 
 
 def model_year(date: Column) -> Column:
+    """Model year of an order; a year outside the mapped ones fails, as two of them would be added up."""
     year = F.year(date)
     spaced = F.lit(2015) + (year - lb.FIRST_ORDER_YEAR) * 5
-    return F.when(year == lb.LAST_ORDER_YEAR, F.lit(2050)).otherwise(spaced).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("no model year for order date "), F.coalesce(date.cast("string"), F.lit("NULL"))))
+    return (
+        F.when(year == lb.LAST_ORDER_YEAR, F.lit(2050))
+        .when(year.between(lb.FIRST_ORDER_YEAR, lb.LAST_ORDER_YEAR), spaced)
+        .otherwise(unknown)
+        .cast("int")
+    )
 
 
 def scenario_code(priority: Column) -> Column:
-    """0, 1, ... in the order of the scenario list."""
-    return F.substring(priority, 1, 1).cast("int") - 1
+    """0, 1, ... in the order of the scenario list; an unknown label fails."""
+    place = F.array_position(F.array(*[F.lit(p) for p in lb.SCENARIO_OF]), priority).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("no scenario for order priority "), F.coalesce(priority, F.lit("NULL"))))
+    return F.when(place > 0, place - 1).otherwise(unknown).cast("int")
 
 
 class StarModel:
@@ -103,7 +112,8 @@ class StarModel:
         return self._once("lines", self._cube if self.staged else self._lines)
 
     def _cube(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        tables = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "customer")]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, tuple(file_listing(self.spark, t) for t in tables))
         if key not in _CUBES:
             folder = fresh_folder(self.spark)
             cells = self._lines().groupBy(*CUBE_KEYS).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
@@ -317,7 +327,7 @@ class StarModel:
     # -- inputs --------------------------------------------------------------------------------
 
     def inputs(self) -> ModelInputs:
-        extra = {"stage": self._stage} if self.keep_stages else {}
+        extra = {"stage": self._stage, "shares": True} if self.keep_stages else {}
         return ModelInputs(
             table=self.table, dims=self.dims, scenarios=lb.SCENARIOS, price_levels=lb.PRICE_LEVELS, **extra
         )

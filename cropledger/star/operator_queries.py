@@ -384,7 +384,7 @@ def pattern_from_column(spark, sf):
        "CAST(NULL AS DOUBLE) AS X FROM o_obs WHERE year < 2000 OR returnflag = 'N' GROUP BY scenario, region, year")
 def pivot_no_fill(spark, sf):
     cells = summed(spark, sf, "returnflag", value=F.col("value")).where((F.col("year") < 2000) | (F.col("returnflag") == "N"))
-    return reshape.pivot_wider(cells, ["scenario", "region", "year"], "returnflag", "value", ["A", "R", "X"])
+    return reshape.pivot_wider(cells, ["scenario", "region", "year"], "returnflag", "value", ["A", "N", "R", "X"]).drop("N")
 
 
 @query("pivot_fill_zero", "SELECT scenario, region, year, coalesce(sum(value) FILTER (WHERE returnflag = 'A' AND year <> 1997), 0) AS A, "
@@ -392,7 +392,7 @@ def pivot_no_fill(spark, sf):
 def pivot_fill_zero(spark, sf):
     cells = summed(spark, sf, "returnflag", value=F.col("value"))
     cells = cells.where(~((F.col("returnflag") == "A") & (F.col("year") == 1997)))
-    return reshape.pivot_wider(cells, ["scenario", "region", "year"], "returnflag", "value", ["A", "R"], fill=0.0)
+    return reshape.pivot_wider(cells, ["scenario", "region", "year"], "returnflag", "value", ["A", "N", "R"], fill=0.0).drop("N")
 
 
 @query("unpivot_measures", "SELECT scenario, region, year, 'value' AS \"Variable\", sum(value) AS \"Value\" FROM o_obs GROUP BY ALL UNION ALL "

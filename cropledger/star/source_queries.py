@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cropledger.operators.lookup import lookup_matched, strict_lookup
 from cropledger.operators.reshape import pivot_wider
-from cropledger.plans import report
 from cropledger.session import fresh_folder, write_and_read_back
 from cropledger.sources import catalog as cat
 from cropledger.sources.dims import default_dimensions, read_auxiliary, read_dimension
@@ -105,16 +104,6 @@ def auxiliary_table(spark, sf):
     return read_auxiliary(spark, path, "region_id int, year int, value double", {"region_id": "ID"})
 
 
-@query("report_export_csv", "SELECT 'MODEL' AS \"Model\", Scenario, Region, Item, Variable, Year, Unit, round(Value, 6) AS \"Value\" FROM r_pop")
-def report_export_csv(spark, sf):
-    """The exported file, read back."""
-    path = f"{fresh_folder(spark)}/report.csv"
-    model = StarModel(spark, sf).inputs()
-    report.write_report(report.assemble(report.collect_tables(model, ["population"]), "MODEL"), path)
-    schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
-    return read_auxiliary(spark, f"{path}", schema).withColumn("Value", F.round("Value", 6))
-
-
 @query("fixed_dimensions", "SELECT l.cover, l.item, count(*) AS n, sum(l_quantity) AS weight FROM lineitem JOIN (SELECT *, row_number() OVER (ORDER BY \"LandLeaf\") - 1 AS p FROM f_leaves) l "
        "ON l.p = l_partkey % 43 GROUP BY ALL")
 def fixed_dimensions(spark, sf):

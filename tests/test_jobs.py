@@ -67,3 +67,42 @@ def test_report_end_to_end(spark, store, tmp_path):
 def test_scenario_list(spark, tmp_path):
     (tmp_path / "sets.csv").write_text("Scenario,Item\nBAU,CRP\n,LSP\nELM,\nBAU,TOT\n")
     assert jobs.scenario_list(spark, str(tmp_path / "sets.csv")) == ["BAU", "ELM"]
+
+
+def test_listing_and_choices(spark, store, tmp_path, capsys):
+    for version, scen, name in (("v1", "BAU", "prod"), ("v1", "EL2", "prod"), ("v1", "EL2", "land"), ("v2", "BAU", "prod")):
+        path = tmp_path / "proj" / version / scen / f"{name}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("title\nscenario,region,2015,Units,\nBAU,USA,1,Mt,\n")
+    jobs.main(["list", str(tmp_path), "proj", "--version", "v1", "--scen", "EL2"])
+    shown = capsys.readouterr().out.split("\n")
+    assert [x for x in shown if x] == ["version\tv1", "version\tv2", "scen\tBAU", "scen\tEL2", "query\tland", "query\tprod"]
+    jobs.main(["load", str(tmp_path), "proj", str(tmp_path / "s"), "--version", "v1", "--scen", "EL2", "--query", "land"])
+    made = Store(spark, str(tmp_path / "s"))
+    assert made.load("land").count() == 1
+    with pytest.raises(FileNotFoundError):
+        made.load("prod")
+
+
+def test_report_job_with_own_mapping_and_figures(spark, store, tmp_path):
+    (tmp_path / "sets.csv").write_text("Scenario\nBAU\nELM\nELM_NoCC\n")
+    spark.createDataFrame(sorted(LEVELS.items()), "year int, level double").write.parquet(str(tmp_path / "levels"))
+    regions = jobs.default_dimensions(spark).regions
+    regions.write.parquet(str(tmp_path / "regions"))
+    given = [store.folder, "v1", str(tmp_path / "out"), "--scenarios", str(tmp_path / "sets.csv"), "--price-levels", str(tmp_path / "levels"), "--work", str(tmp_path / "work")]
+    jobs.main(["report", *given, "--model", "M", "--mapping", f"regions={tmp_path / 'regions'}"])
+    assert spark.read.option("header", "true").csv(str(tmp_path / "out")).count() > 0
+    given[2] = str(tmp_path / "figures")
+    jobs.main(["figures", *given, "--figure", "annual_co2", "--figure", "wage_index"])
+    assert sorted(x.name for x in (tmp_path / "figures").iterdir()) == ["annual_co2", "wage_index"]
+    assert list((tmp_path / "work").iterdir()) == []
+
+
+def test_shared_rows_are_told_by_table_not_by_bits(make):
+    schema = "Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
+    area = make(schema, [("S", "R", "ECP", "AREA", 2015, "u", 0.1 + 0.2), ("S", "R", "WHT", "AREA", 2015, "u", 1.0), ("S", "R", "WHT", "AREA", 2015, "u", 1.0)])
+    cover = make(schema, [("S", "R", "ECP", "AREA", 2015, "u", 0.3), ("S", "R", "TOT", "LAND", 2015, "u", 5.0)])
+    whole = report.assemble(report.without_shared({"area": area, "land_cover": cover}), "M")
+    assert whole.count() == 4  # the two real rows stay, the energy-crop row comes once
+    assert rows(report.repeated_keys(whole), "Item", "n") == [("WHT", 2)]
+    assert report.assemble(report.without_shared({"land_cover": cover}), "M").count() == 2

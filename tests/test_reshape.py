@@ -6,11 +6,16 @@ from cropledger.operators import reshape
 
 def test_pivot_wider(make):
     df = make("k string, e string, v double", [("a", "x", 1.0), ("a", "y", None), ("b", "y", 2.0), ("c", "z", 3.0)])
-    wide = reshape.pivot_wider(df, ["k"], "e", "v", ["x", "y"])
-    assert rows(wide) == [("a", 1.0, None), ("b", None, 2.0), ("c", None, None)]
-    assert rows(reshape.pivot_wider(df, ["k"], "e", "v", ["x", "y"], fill=0.0)) == [("a", 1.0, 0.0), ("b", 0.0, 2.0), ("c", 0.0, 0.0)]
+    wide = reshape.pivot_wider(df, ["k"], "e", "v", ["x", "y", "z"])
+    assert rows(wide) == [("a", 1.0, None, None), ("b", None, 2.0, None), ("c", None, None, 3.0)]
+    assert rows(reshape.pivot_wider(df, ["k"], "e", "v", ["x", "y", "z"], fill=0.0).drop("z")) == [("a", 1.0, 0.0), ("b", 0.0, 2.0), ("c", 0.0, 0.0)]
+    assert rows(reshape.pivot_wider(df, ["k"], "e", "v")) == rows(wide)
     with pytest.raises(Exception, match="more than one value"):
-        reshape.pivot_wider(df.union(df), ["k"], "e", "v", ["x"]).collect()
+        reshape.pivot_wider(df.union(df), ["k"], "e", "v", ["x", "y", "z"]).collect()
+    with pytest.raises(Exception, match="outside the listed members: z"):
+        reshape.pivot_wider(df, ["k"], "e", "v", ["x", "y"]).collect()
+    with pytest.raises(Exception, match="outside the listed members: NULL"):
+        reshape.pivot_wider(make("k string, e string, v double", [("a", None, 1.0)]), ["k"], "e", "v", ["x"]).collect()
 
 
 def test_pivot_longer_keeps_missing(make):

@@ -61,3 +61,12 @@ def test_fill_annual_against_numpy(make, data):
     got = rows(series.fill_annual(make(SCHEMA, table)))
     assert [t[:2] for t in got] == [t[:2] for t in sorted(expected)]
     assert np.allclose([t[2] for t in got], [t[2] for t in sorted(expected)])
+
+
+def test_two_rows_in_a_base_year_fail(make):
+    df = make(SCHEMA, [("a", 2015, 1.0), ("a", 2015, 2.0), ("a", 2020, 3.0)])
+    with pytest.raises(Exception, match="more than one value for year=2015"):
+        series.index_to_year(df, ["k"], "year", "value", 2015).collect()
+    with pytest.raises(Exception, match="more than one value for year=2015"):
+        series.freeze_at(df, ["k"], "year", "value", [(None, 2015)]).collect()
+    assert series.index_to_year(df, ["k"], "year", "value", 2020).count() == 3

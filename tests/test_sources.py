@@ -57,6 +57,7 @@ def test_read_query_cleans_and_gathers(spark, tree):
         ("EL2", "USA", "Corn", "Mt", 2015, 7.0, "EL 2"),
     ]  # the row with a blank year, titles and repeated headers are gone
     assert rows(table.rejected_cells, "year", "text") == [(2025, "oops")]
+    assert rows(table.rejected_rows, "text") == [('{"scenario":"BAU,date=2024-3-1","region":"USA","sector":"Rice","2015":null,"2020":"5","Units":"Mt"}',)]
 
 
 def test_load_exports(spark, tree, tmp_path):
@@ -69,7 +70,26 @@ def test_load_exports(spark, tree, tmp_path):
     assert rows(store.load("rejected_cells"), "query", "year", "text") == [("prod", 2025, "oops")]
     load_exports(spark, tree, "proj", store, versions=["v2"], queries=["prod"])
     assert store.load("prod").count() == 7  # the other version's partitions stay
-    assert store.load("rejected_files").count() == store.load("rejected_cells").count() == 0
+    assert all(store.load(f"rejected_{what}").count() == 0 for what in ("files", "rows", "cells"))
+
+
+@pytest.mark.parametrize("scen", ["SSP2+CC", "a b", "50%25", "a[1]{2}", "proj", "100%"])
+def test_paths_are_names_not_patterns(spark, tmp_path, scen):
+    put(tmp_path, "v1", scen, "prod", TITLE + HEADER + "BAU,USA,Corn,1,2,Mt,\n")
+    listed = cat.list_exports(spark, str(tmp_path), "proj")
+    assert rows(listed, "version", "scen", "query") == [("v1", scen, "prod")]
+    store = Store(spark, str(tmp_path / "tables"))
+    assert load_exports(spark, str(tmp_path), "proj", store) == ["prod"]
+    assert rows(store.load("prod"), "scen", "ss", "year", "value") == [(scen, scen, 2015, 1.0), (scen, scen, 2020, 2.0)]
+    assert store.load("rejected_files").count() == 0
+
+
+def test_blocks_with_different_headers(spark, tmp_path):
+    put(tmp_path, "v1", "BAU", "prod", TITLE + HEADER + '"BAU,date=x",USA,Corn,1,2,Mt,\n\n'
+        + TITLE + "scenario,region,sector,2025,2030,Units,\n" + '"BAU,date=x",USA,Corn,3,,Mt,\n"BAU,date=x",USA,Rice,4,5,Mt,\n')
+    table = read_query(spark, [r["path"] for r in cat.list_exports(spark, str(tmp_path), "proj").collect()])
+    assert rows(table.rows, "sector", "year", "value") == [("Corn", 2015, 1.0), ("Corn", 2020, 2.0), ("Rice", 2025, 4.0), ("Rice", 2030, 5.0)]
+    assert table.rejected_files == [] and table.rejected_rows.count() == 1
 
 
 def test_store_errors(spark, tmp_path):
