@@ -22,18 +22,19 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def pivot_wider(
-    df: DataFrame, ids: Sequence[str], key: str, value: str, members: Sequence[str] | None = None, fill: float | None = None
-) -> DataFrame:
+    df: DataFrame, ids: Sequence[str], key: str, value: str, members: Sequence[str] | None = None, fill: float | None = None,
+    *, also: Sequence[str] = (),
+) -> DataFrame:
     """One column per member in a single shuffle; a repeated cell fails, an absent one is NULL or ``fill``.
 
-    A row whose key is not among ``members`` fails too. Without ``members`` those that occur are taken, in order,
-    at the cost of a job over the keys.
+    A row whose key is not among ``members`` fails too. Without ``members`` those that occur are taken, and those of
+    ``also``, in order, at the cost of a job over the keys.
     """
     if members is None:
         seen = df.select(F.col(key).cast("string").alias("m")).distinct().limit(MOST_COLUMNS + 1).collect()
         if len(seen) > MOST_COLUMNS or any(r["m"] is None for r in seen):
             raise ValueError(f"{key} has a missing entry or more than {MOST_COLUMNS} members")
-        members = sorted(r["m"] for r in seen)
+        members = sorted({*also, *(r["m"] for r in seen)})
     known = F.col(key).isin(list(members)) & F.col(key).isNotNull()
     cells = [only_value(F.col(key) == m, value, f"{key}={m}").alias(m) for m in members]
     other = F.max(F.when(~F.coalesce(known, F.lit(False)), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))

@@ -49,11 +49,11 @@ def supply_use_grid(m: ModelInputs) -> DataFrame:
 
 
 def price_index(m: ModelInputs, base: int = 2020) -> DataFrame:
-    """World producer prices relative to the base year, one column per year that occurs."""
+    """World producer prices relative to the base year, one column per fifth year and any other that occurs."""
     world = balance.producer_price(m).where((F.col("Region") == WORLD) & (F.col("Variable") == "XPRP"))
     ids = [c for c in world.columns if c not in ("Year", "Value")]
     index = index_to_year(world, ids, "Year", "Value", base).withColumn("Year", F.col("Year").cast("string"))
-    return pivot_wider(index, ids, "Year", "Value")
+    return pivot_wider(index, ids, "Year", "Value", also=[str(y) for y in range(m.years[0], m.years[1] + 1, 5)])
 
 
 def average_price(m: ModelInputs) -> DataFrame:

@@ -19,6 +19,8 @@ PART = {
     "indicator_population", "indicator_area", "indicator_wage", "indicator_carbon_price", "figure_cumulative_water",
     "balance_storage", "emissions_by_sector", "food_demand_switch", "catalog_listing",
 }
+# Probes that find nothing in these tables.
+EMPTY = {"report_negative_prices"}
 CHOSEN = [n for n in QUERIES if os.environ.get("CROPLEDGER_ALL") or n in PART or not n.startswith(LONG)]
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no star-schema tables")
@@ -59,7 +61,7 @@ def test_query(spark, tables, name):
     assert len(got) == len(want)
     wrong = [(g, w) for g, w in zip(got, want) if not all(map(same, g, w))]
     assert not wrong, wrong[:3]
-    assert got, "no rows"
+    assert got or name in EMPTY, "no rows"
 
 
 def test_entry(spark):
