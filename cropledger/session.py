@@ -86,11 +86,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
-def write_and_read_back(df: DataFrame, path: str) -> DataFrame:
+def write_and_read_back(df: DataFrame, path: str, *, count: bool = True) -> DataFrame:
     """Cut the lineage with a written table, so that a lost executor costs a re-read, not a re-run.
 
-    Fails if the table holds other than the rows written, as it would on a folder that is not shared.
+    Fails if the table holds other than the rows written, as it would on a folder that is not shared; without ``count``
+    this is not looked at, for a folder that has been before.
     """
+    if not count:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     written = Observation()
     df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -107,9 +111,9 @@ class WorkFolder:
         self.spark = spark
         self.path = fresh_folder(spark, root)
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame, *, count: bool = True) -> DataFrame:
         """Write a table and read it back."""
-        return write_and_read_back(df, f"{self.path}/{name}")
+        return write_and_read_back(df, f"{self.path}/{name}", count=count)
 
     def drop(self, *names: str) -> None:
         """Delete tables nothing reads any more; without names, the whole folder."""

@@ -152,7 +152,8 @@ def restrict_inner_lookup(spark, sf):
        "LEFT JOIN (SELECT scenario, region, year, sum(value) AS value FROM o_obs WHERE returnflag = 'R' AND year <> 1999 GROUP BY ALL) r USING (scenario, region, year)")
 def multi_key_fact_join(spark, sf):
     returned = F.when((F.col("returnflag") == "R") & (F.col("year") != 1999), F.col("value"))
-    cells = summed(spark, sf, value=F.col("value"), back=returned)
+    # Both sides come from one written table of sums, so that the line items are read and joined once.
+    cells = write_and_read_back(summed(spark, sf, value=F.col("value"), back=returned), fresh_folder(spark))
     part = cells.where(F.col("back").isNotNull()).select("scenario", "region", "year", F.col("back").alias("returned"))
     return cells.drop("back").join(part, ["scenario", "region", "year"], "left")
 
@@ -164,6 +165,7 @@ def natural_lookup(spark, sf):
         F.sum("weight").alias("value"), F.max("linenumber").alias("top")
     )
     cells = named(cells, spark, sf).groupBy("scenario", "region", "year").agg(F.sum("value").alias("value"), F.max("top").alias("top"))
+    cells = write_and_read_back(cells, fresh_folder(spark))
     prices = cells.select("scenario", "region", "year", (F.col("top") / F.lit(4.0)).alias("price"))
     return lookup.strict_natural_lookup(cells.drop("top"), prices, what="prices").withColumn("revenue", F.col("value") * F.col("price"))
 
@@ -458,7 +460,7 @@ def _basins(spark, sf):
     # Small sums used twice: written once, so that the line items are read once.
     data = write_and_read_back(data, fresh_folder(spark))
     places = nations(spark, sf).where(F.col("region0") != "NATION_9").select(F.col("region0").alias("region"))
-    grid = lookup.replicate_over_observed(places, "basin", read(spark, sf, "lineitem"), "l_linestatus")
+    grid = lookup.replicate_over_observed(places, "basin", data, "basin")
     return data, grid
 
 
@@ -489,9 +491,10 @@ def split_code(spark, sf):
 
 @query("union_missing_columns", "SELECT scenario, year, sum(value) AS value, CAST(NULL AS DOUBLE) AS weight FROM o_obs GROUP BY ALL UNION ALL SELECT scenario, CAST(NULL AS INTEGER), NULL, sum(weight) FROM o_obs GROUP BY scenario")
 def union_missing_columns(spark, sf):
-    facts = line_facts(spark, sf)
-    by_year = facts.groupBy("scenario", "year").agg(F.sum("value").alias("value"))
-    by_scenario = facts.groupBy("scenario").agg(F.sum("weight").alias("weight"))
+    cells = line_facts(spark, sf).groupBy("scenario", "year").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight"))
+    cells = write_and_read_back(cells, fresh_folder(spark))
+    by_year = cells.drop("weight")
+    by_scenario = cells.groupBy("scenario").agg(F.sum("weight").alias("weight"))
     return reshape.union_all([by_year, by_scenario])
 
 
