@@ -13,7 +13,11 @@ list the pairs of a group of copies:
 
 1. texts with the same words are one node; each node is held against the one bucket hub it shares most buckets with;
 2. what that left apart is held against the hubs of its other buckets;
-3. of buckets that still hold more than one component, every pair across components is held against each other.
+3. of buckets that still hold more than one component, everyone is held against everyone of another component: in blocks
+   inside the tasks, which hand out links that join components, not pairs.
+
+A pair is left out before that only if it cannot be similar enough: two sets share at most what remains of each without the
+shingles that no other candidate has. A copy with many words of its own is so told from its group by two numbers.
 
 Components are grown by stars between written tables. Nothing of this passes through the driver but one row of checksums.
 
@@ -32,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cropledger.llm import text as tx
@@ -42,11 +46,13 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 ROW_LIMIT = 2_000
+#: Members of a bucket in one block, and shared items in one step, of the last round.
+BLOCK, COLUMNS = 250, 4096
 LEVEL = 3
 
 STEPS = np.array([0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xB564EF22EC7AECE5], np.uint64)
 CELL, DART, MARK, HEIGHT = (np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63))
-SKETCH = "doc_id long, node binary, size long, keys array<long>, content binary"
+SKETCH = "doc_id long, node binary, keys array<long>, content binary"
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +139,6 @@ def _sketch(bands: int, width: int):
                 low = tx.lower(part.column("text").fill_null(""))
                 value, of, times, digests = shingles(low)
                 keys = band_keys(signatures(value, of, times.astype(np.float64), part.num_rows, bands * width), bands, width)
-                size = np.bincount(of, times, part.num_rows).astype(np.int64) if len(of) else np.zeros(part.num_rows, np.int64)
                 held: list = []
                 for k, node in enumerate(digests):
                     fresh = node is not None and node not in known
@@ -141,11 +146,11 @@ def _sketch(bands: int, width: int):
                     held.append(pack(low[k].as_buffer()) if fresh else None)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(list(digests), pa.binary()), pa.array(size),
+                        part.column("doc_id"), pa.array(list(digests), pa.binary()),
                         pa.array([r if h is not None else None for r, h in zip(list(keys), held)], pa.list_(pa.int64())),
                         pa.array(held, pa.binary()),
                     ],
-                    names=["doc_id", "node", "size", "keys", "content"],
+                    names=["doc_id", "node", "keys", "content"],
                 )
 
     return run
@@ -182,27 +187,113 @@ def components(edges: DataFrame, work: WorkFolder, name: str) -> DataFrame:
     changes. Each round is a written table; the one before it is dropped.
     """
 
-    def check(table: DataFrame) -> tuple:
-        return tuple(table.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def keep(step: str, table: DataFrame) -> tuple[DataFrame, tuple]:
+        """The written table, and a checksum of it taken while it is written."""
+        seen = Observation()
+        total = F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)")).alias("total")
+        path = f"{work.path}/{name}{step}"
+        table.observe(seen, F.count(F.lit(1)).alias("n"), total).write.parquet(path)
+        return table.sparkSession.read.schema(table.schema).parquet(path), (seen.get["n"], seen.get["total"])
 
-    now = work.keep(f"{name}0", edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
-    seen, turn = check(now), 0
+    now, before = keep("0", edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    turn = 0
     while True:
         turn += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = work.keep(f"{name}{turn}-large", both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        least, _ = keep(f"{turn}-large", both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        large = work.keep(f"{name}{turn}-star", large)
-        least = work.keep(f"{name}{turn}-small", large.groupBy("a").agg(F.min("b").alias("m")))
+        large, _ = keep(f"{turn}-star", large)
+        least, _ = keep(f"{turn}-small", large.groupBy("a").agg(F.min("b").alias("m")))
         handed = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-        following = work.keep(f"{name}{turn}", handed.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        found = check(following)
-        work.drop(f"{name}{turn - 1}", f"{name}{turn}-large", f"{name}{turn}-star", f"{name}{turn}-small")
+        following, found = keep(f"{turn}", handed.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        work.drop(*(f"{name}{step}" for step in (turn - 1, f"{turn}-large", f"{turn}-star", f"{turn}-small")))
         now = following
-        if found == seen:
-            break
-        seen = found
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        if found == before:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        before = found
+
+
+def weights(sets: DataFrame) -> DataFrame:
+    """id, size of the set, and how much of it some other set has too."""
+    alone = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    alone = alone.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    sized = sets.select("id", F.size("items").alias("size")).join(alone, "id", "left")
+    return sized.select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("rest"))
+
+
+def _possible(similarity: float) -> Column:
+    """Can two sets be similar enough? They share at most what is left of each without the items no other set has."""
+    most = F.least("rest", "other_rest")
+    return most >= F.lit(similarity) * (F.col("size") + F.col("other_size") - most)
+
+
+def _linked(similarity: float):
+    """Of the sets of one group, links between different roots: enough to join what is similar, not every pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, roots = table["id"].to_pylist(), table["root"].to_pylist()
+        items = table["items"].combine_chunks()
+        size = np.diff(items.offsets.to_numpy()).astype(np.int64)
+        row = np.repeat(np.arange(len(ids)), size)
+        _, code, times = np.unique(items.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+        held = times[code] > 1
+        column = (np.cumsum(times > 1) - 1)[code[held]]
+        row, order = row[held], np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(ids), len(ids)), np.float32)
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            low, high = np.searchsorted(column, [at, at + COLUMNS])
+            has = np.zeros((len(ids), COLUMNS), np.float32)
+            has[row[low:high], column[low:high] - at] = 1
+            shared += has @ has.T
+        near = shared >= similarity * (np.add.outer(size, size) - shared) - 1e-3
+        top = {r: r for r in roots}
+
+        def find(r: int) -> int:
+            while top[r] != r:
+                top[r] = top[top[r]]
+                r = top[r]
+            return r
+
+        found = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))):
+            a, b = find(roots[i]), find(roots[j])
+            # in whole numbers, as the pairs of the other rounds are held against each other
+            if a != b and shared[i, j] >= similarity * float(size[i] + size[j] - int(shared[i, j])):
+                top[a] = b
+                found.append((ids[i], ids[j]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
+def _across(there: DataFrame, sets: DataFrame, similarity: float, work: WorkFolder) -> DataFrame:
+    """Links between members (bucket, id, root) of the same bucket and different roots.
+
+    A bucket's members of its most frequent root (d) need not meet each other: blocks of the others (o) meet each other
+    and the blocks of d. What a task holds is two blocks.
+    """
+    roots = there.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    plan = roots.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
+    blocks = lambda n: F.greatest(F.ceil(n / F.lit(BLOCK)), F.lit(1)).cast("int")
+    plan = work.keep(
+        "plan",
+        plan.select("bucket", F.col("most.root").alias("d"), blocks(F.col("most.n")).alias("ds"), blocks(F.col("all") - F.col("most.n")).alias("os")),
+    )
+    rows = there.select("bucket", "id", "root").join(plan, "bucket").withColumn("hash", F.xxhash64("id", "bucket"))
+    mine = F.pmod("hash", F.when(F.col("root") == F.col("d"), F.col("ds")).otherwise(F.col("os"))).cast("int")
+
+    def group(kind: str, i: Column, j: Column) -> Column:
+        return F.concat_ws(":", F.lit(kind), F.col("bucket").cast("string"), i.cast("string"), j.cast("string"))
+
+    others, most = F.sequence(F.lit(0), F.col("os") - 1), F.sequence(F.lit(0), F.col("ds") - 1)
+    as_most = F.transform(others, lambda i: group("d", i, F.col("mine")))
+    as_other = F.concat(
+        F.transform(others, lambda j: group("o", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j))),
+        F.transform(most, lambda j: group("d", F.col("mine"), j)),
+    )
+    dealt = rows.withColumn("mine", mine).select("id", "root", F.explode(F.when(F.col("root") == F.col("d"), as_most).otherwise(as_other)).alias("group"))
+    return dealt.join(sets.hint("merge"), "id").groupBy("group").applyInArrow(_linked(similarity), "a long, b long").distinct()
 
 
 def classes(
@@ -215,25 +306,29 @@ def classes(
     sketch = work.keep("sketch", slim.mapInArrow(_sketch(bands, width), SKETCH))
 
     nodes = sketch.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"),
         F.first("keys", ignorenulls=True).alias("keys"),
     )
     nodes = work.keep("nodes", nodes.withColumn("id", F.monotonically_increasing_id()))
-    placed = nodes.select("id", "size", F.explode("keys").alias("bucket"))
-    hub = F.min(F.struct(F.xxhash64("id", "bucket").alias("order"), F.col("id"), F.col("size")))
-    buckets = placed.groupBy("bucket").agg(hub.alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = work.keep("buckets", buckets.select("bucket", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size")))
-    members = work.keep("members", placed.join(buckets.hint("merge"), "bucket"))
+    placed = nodes.select("id", F.explode("keys").alias("bucket"))
+    buckets = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    placed = work.keep("placed", placed.join(work.keep("buckets", buckets).hint("merge"), "bucket"))
 
-    wanted = nodes.select("id", "node").join(members.select("id").distinct(), "id", "left_semi")
+    wanted = nodes.select("id", "node").join(placed.select("id").distinct(), "id", "left_semi")
     wanted = work.keep("wanted", wanted)
     # Always a merge join: whether few or many nodes are wanted, the same bytes move for each row.
     contents = sketch.where("content IS NOT NULL").select("node", "content").join(wanted.hint("merge"), "node")
     sets = work.keep("sets", contents.select("id", "content").mapInArrow(_sets, "id long, items array<long>").dropDuplicates(["id"]))
-
-    # Sets whose sizes differ too much cannot be similar.
-    near = F.least("size", "hub_size") >= F.lit(similarity) * F.greatest("size", "hub_size")
-    stars = members.where((F.col("id") != F.col("hub")) & near).groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"))
+    weight = work.keep("weights", weights(sets).where(F.col("rest") >= F.lit(similarity) * F.col("size")))
+    other_weight = weight.select(F.col("size").alias("other_size"), F.col("rest").alias("other_rest"), F.col("id").alias("hub"))
+
+    # The hub of a bucket is the member with the smallest share of its own: the one most like the others.
+    able = work.keep("able", placed.join(weight, "id").select("bucket", "id", (1 - F.col("rest") / F.col("size")).alias("own")))
+    hub = F.min(F.struct("own", F.xxhash64("id", "bucket").alias("order"), "id")).alias("hub")
+    hubs = work.keep("hubs", able.groupBy("bucket").agg(hub).select("bucket", F.col("hub.id").alias("hub")))
+    members = work.keep("members", able.drop("own").join(hubs, "bucket"))
+    stars = members.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"))
+    stars = stars.join(weight, "id").join(other_weight, "hub").where(_possible(similarity)).select("id", "hub", "n")
     stars = work.keep("stars", stars)
     favourite = F.max(F.struct("n", F.xxhash64("id", "hub").alias("order"), "hub")).alias("best")
     first = stars.groupBy("id").agg(favourite).select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
@@ -248,15 +343,12 @@ def classes(
     roots = components(edges, work, "second")
 
     labels = work.keep("labels2", wanted.select("id").join(roots, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
-    # Hubs have met everyone of their buckets, so two components need a third member to have a pair left.
-    there = members.select("id", "size", "bucket", "hub").join(labels, "id")
-    mixed = there.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    mixed = work.keep("mixed", mixed.where("low != high AND n > 2").select("bucket"))
-    there = work.keep("there", there.where("id != hub").join(mixed, "bucket", "left_semi").drop("hub"))
-    other = there.select("bucket", F.col("id").alias("b"), F.col("size").alias("hub_size"), F.col("root").alias("other"))
-    third = there.withColumnRenamed("id", "a").join(other.hint("merge"), "bucket").where((F.col("root") < F.col("other")) & near)
-    third = work.keep("third", third.select("a", "b").distinct())
-    edges = work.keep("edges3", edges.unionByName(_verified(third, sets, similarity)))
+    # Hubs have met everyone of their buckets.
+    there = members.where("id != hub").drop("hub").join(labels, "id").join(weight, "id")
+    mixed = there.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = work.keep("mixed", mixed.where("low != high").select("bucket"))
+    there = work.keep("there", there.join(mixed, "bucket", "left_semi"))
+    edges = work.keep("edges3", edges.unionByName(_across(there, sets, similarity, work)))
     roots = components(edges, work, "third")
 
     grouped = nodes.select("id", "node", "least", "n").join(roots.withColumnRenamed("node", "child"), F.col("id") == F.col("child"), "left")
