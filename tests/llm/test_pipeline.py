@@ -46,7 +46,7 @@ def test_quality_goes_by_the_threshold(spark, results):
 
 
 def test_exact_and_near_copies_go(results):
-    from test_dart_minhash import bag, similarity
+    from .test_dart_minhash import bag, similarity
 
     def norm(text):
         return re.sub("[\x20\x09-\x0d]+", " ", text or "")
