@@ -8,12 +8,11 @@ the earliest dart of a coordinate is the signature there, and two documents agre
 weighted Jaccard similarity. A coordinate left empty doubles the rank and throws again.
 
 Signatures are cut into bands; texts that agree in a whole band share a bucket. With 20 bands of 5 a pair of similarity
-0.8 shares none in 0.04 % of cases. Candidates are then verified on the whole shingle sets, in three steps that never
-list the pairs of a group of copies:
+0.8 shares none in 0.04 % of cases. Candidates are then verified on the whole shingle sets, in two rounds that never list
+the pairs of a group of copies:
 
-1. texts with the same words are one node; each node is held against the one bucket hub it shares most buckets with;
-2. what that left apart is held against the hubs of its other buckets;
-3. of buckets that still hold more than one component, everyone is held against everyone of another component: in blocks
+1. texts with the same words are one node; each node is held against the hubs of its buckets, the nodes most like the others;
+2. of buckets that still hold more than one component, everyone is held against everyone of another component: in blocks
    inside the tasks, which hand out links that join components, not pairs.
 
 A pair is left out before that only if it cannot be similar enough: two sets share at most what remains of each without the
@@ -277,8 +276,8 @@ def _across(there: DataFrame, sets: DataFrame, similarity: float, work: WorkFold
     plan = roots.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
     blocks = lambda n: F.greatest(F.ceil(n / F.lit(BLOCK)), F.lit(1)).cast("int")
     plan = work.keep(
-        "plan",
-        plan.select("bucket", F.col("most.root").alias("d"), blocks(F.col("most.n")).alias("ds"), blocks(F.col("all") - F.col("most.n")).alias("os")),
+        "plan", count=False,
+        df=plan.select("bucket", F.col("most.root").alias("d"), blocks(F.col("most.n")).alias("ds"), blocks(F.col("all") - F.col("most.n")).alias("os")),
     )
     rows = there.select("bucket", "id", "root").join(plan, "bucket").withColumn("hash", F.xxhash64("id", "bucket"))
     mine = F.pmod("hash", F.when(F.col("root") == F.col("d"), F.col("ds")).otherwise(F.col("os"))).cast("int")
@@ -305,56 +304,49 @@ def classes(
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketch = work.keep("sketch", slim.mapInArrow(_sketch(bands, width), SKETCH))
 
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        return work.keep(name, table, count=False)  # that the folder is shared has shown in the sketch
+
     nodes = sketch.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"),
         F.first("keys", ignorenulls=True).alias("keys"),
     )
-    nodes = work.keep("nodes", nodes.withColumn("id", F.monotonically_increasing_id()))
+    nodes = keep("nodes", nodes.withColumn("id", F.monotonically_increasing_id()))
     placed = nodes.select("id", F.explode("keys").alias("bucket"))
     buckets = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    placed = work.keep("placed", placed.join(work.keep("buckets", buckets).hint("merge"), "bucket"))
+    placed = keep("placed", placed.join(keep("buckets", buckets).hint("merge"), "bucket"))
 
     wanted = nodes.select("id", "node").join(placed.select("id").distinct(), "id", "left_semi")
-    wanted = work.keep("wanted", wanted)
+    wanted = keep("wanted", wanted)
     # Always a merge join: whether few or many nodes are wanted, the same bytes move for each row.
     contents = sketch.where("content IS NOT NULL").select("node", "content").join(wanted.hint("merge"), "node")
-    sets = work.keep("sets", contents.select("id", "content").mapInArrow(_sets, "id long, items array<long>").dropDuplicates(["id"]))
-    weight = work.keep("weights", weights(sets).where(F.col("rest") >= F.lit(similarity) * F.col("size")))
+    sets = keep("sets", contents.select("id", "content").mapInArrow(_sets, "id long, items array<long>").dropDuplicates(["id"]))
+    weight = keep("weights", weights(sets).where(F.col("rest") >= F.lit(similarity) * F.col("size")))
     other_weight = weight.select(F.col("size").alias("other_size"), F.col("rest").alias("other_rest"), F.col("id").alias("hub"))
 
     # The hub of a bucket is the member with the smallest share of its own: the one most like the others.
-    able = work.keep("able", placed.join(weight, "id").select("bucket", "id", (1 - F.col("rest") / F.col("size")).alias("own")))
+    able = keep("able", placed.join(weight, "id").select("bucket", "id", (1 - F.col("rest") / F.col("size")).alias("own")))
     hub = F.min(F.struct("own", F.xxhash64("id", "bucket").alias("order"), "id")).alias("hub")
-    hubs = work.keep("hubs", able.groupBy("bucket").agg(hub).select("bucket", F.col("hub.id").alias("hub")))
-    members = work.keep("members", able.drop("own").join(hubs, "bucket"))
-    stars = members.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"))
-    stars = stars.join(weight, "id").join(other_weight, "hub").where(_possible(similarity)).select("id", "hub", "n")
-    stars = work.keep("stars", stars)
-    favourite = F.max(F.struct("n", F.xxhash64("id", "hub").alias("order"), "hub")).alias("best")
-    first = stars.groupBy("id").agg(favourite).select(F.col("id").alias("a"), F.col("best.hub").alias("b"))
-    edges = work.keep("edges1", _verified(first, sets, similarity))
+    hubs = keep("hubs", able.groupBy("bucket").agg(hub).select("bucket", F.col("hub.id").alias("hub")))
+    members = keep("members", able.drop("own").join(hubs, "bucket"))
+    stars = members.where("id != hub").select("id", "hub").distinct()
+    stars = keep("stars", stars.join(weight, "id").join(other_weight, "hub").where(_possible(similarity)).select("id", "hub"))
+    edges = keep("edges1", _verified(stars.select(F.col("id").alias("a"), F.col("hub").alias("b")), sets, similarity))
     roots = components(edges, work, "first")
-
-    labels = work.keep("labels1", wanted.select("id").join(roots, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
-    mine = stars.join(labels, "id").withColumnRenamed("root", "own")
-    apart = mine.join(labels.select(F.col("id").alias("hub"), F.col("root").alias("other")), "hub").where("own != other")
-    second = apart.select(F.col("id").alias("a"), F.col("hub").alias("b")).join(first, ["a", "b"], "left_anti")
-    edges = work.keep("edges2", edges.unionByName(_verified(work.keep("second", second), sets, similarity)))
-    roots = components(edges, work, "second")
-
-    labels = work.keep("labels2", wanted.select("id").join(roots, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
+    labels = wanted.select("id").join(roots, F.col("id") == F.col("node"), "left")
+    labels = keep("labels", labels.select("id", F.coalesce("root", "id").alias("root")))
     # Hubs have met everyone of their buckets.
     there = members.where("id != hub").drop("hub").join(labels, "id").join(weight, "id")
     mixed = there.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = work.keep("mixed", mixed.where("low != high").select("bucket"))
-    there = work.keep("there", there.join(mixed, "bucket", "left_semi"))
-    edges = work.keep("edges3", edges.unionByName(_across(there, sets, similarity, work)))
-    roots = components(edges, work, "third")
+    mixed = keep("mixed", mixed.where("low != high").select("bucket"))
+    there = keep("there", there.join(mixed, "bucket", "left_semi"))
+    edges = keep("edges2", edges.unionByName(_across(there, sets, similarity, work)))
+    roots = components(edges, work, "second")
 
     grouped = nodes.select("id", "node", "least", "n").join(roots.withColumnRenamed("node", "child"), F.col("id") == F.col("child"), "left")
-    grouped = work.keep("grouped", grouped.select("node", "least", "n", F.coalesce("root", "id").alias("root")))
+    grouped = keep("grouped", grouped.select("node", "least", "n", F.coalesce("root", "id").alias("root")))
     totals = grouped.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
-    named = work.keep("named", grouped.select("node", "root").join(totals, "root").drop("root"))
+    named = keep("named", grouped.select("node", "root").join(totals, "root").drop("root"))
     found = sketch.select("doc_id", "node").join(named, "node", "left")
     return found.select(
         "doc_id",
