@@ -7,29 +7,43 @@ from pyspark.sql import DataFrame, SparkSession
 from cropledger.llm import dart_minhash, decontaminate, exact_dedup, importance, packing
 from cropledger.session import WorkFolder
 
+#: Rows of an Arrow batch. A batch of documents is held by Spark and by Python, on the way in and on the way out.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key, "10000"))
+    spark.conf.set(key, str(rows if 0 < rows < BATCH_ROWS else BATCH_ROWS))
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose importance weight the classifier rejects go."""
+    _small_batches(spark)
     return importance.keep_accepted(docs, importance.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
+    _small_batches(spark)
     return exact_dedup.keep_one(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the document with the smallest doc_id stays."""
+    _small_batches(spark)
     return dart_minhash.keep_one(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    _small_batches(spark)
     return decontaminate.keep_clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, tokenised and packed into sequences: one row per piece."""
+    _small_batches(spark)
     return packing.pack(docs)
 
 
