@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cropledger.llm import licences
-from cropledger.llm.licence_texts import APACHE_NOTICE, BSD_HEAD, BSD_NAME, BSD_TAIL, KNOWN, MIT, UNLICENSE
+from cropledger.llm.licence_texts import APACHE_NOTICE, BSD_HEAD, BSD_NAME, BSD_TAIL, FILES, KNOWN, MIT, UNLICENSE
 
 
 def found(df, **options):
@@ -49,3 +49,28 @@ def test_copyright_lines_alone_go(spark):
     rows = [("Copyright 2020 A\nkept",), ("COPYRIGHT HOLDERS AND CONTRIBUTORS",), ("  (c) 1999 B, C\nkept",), ("see © 2000",)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(licences.canonical(F.col("t"))).collect()]
     assert got == ["kept", "copyright holders and contributors", "kept", "see 2000"]
+
+
+def test_every_licence_line_of_the_documents_is_known(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(F.explode(F.split("text", "\n")).alias("text"))
+    said = lines.where(F.col("text").rlike(r"(?i)\blicen[cs]e|creative commons|\bCC BY")).distinct()
+    rows = licences.scan(said.withColumn("doc_id", F.monotonically_increasing_id())).groupBy("licence").count().collect()
+    assert {r.licence for r in rows} == {"CC-BY-NC-4.0", "GPL-3.0", "MIT", "Apache-2.0"} and sum(r["count"] for r in rows) == 4
+
+
+def test_whole_licences_and_usual_notices(documents):
+    texts = {path.stem: path.read_text("utf-8") for path in FILES.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "GFDL-1.3", "Artistic-1.0-Perl"} <= set(texts)
+    notices = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under CC BY.": "CC-BY", "License: CC-BY-SA-3.0": "CC-BY-SA-3.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike License": "CC-BY-SA",
+        "Released under the GPLv2 or later": "GPL-2.0-or-later", "Distributed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "SPDX-License-Identifier: MPL-2.0": "MPL-2.0", "Licensed under the BSD 3-Clause Licence": "BSD-3-Clause",
+    }
+    got = found(documents([*texts.values(), *notices]))
+    assert [got[k][0] for k in range(len(got))] == [*texts, *notices.values()]
+    short = texts["Apache-2.0"].split("APPENDIX")[0].replace("  ", " ")
+    older = texts["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307")
+    got = found(documents([short, older]))
+    assert [got[k][0] for k in range(2)] == ["Apache-2.0", "GPL-2.0"]
