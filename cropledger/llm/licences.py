@@ -1,6 +1,6 @@
 """Licence scan: whole texts against known licences by the digest of their canonical form.
 
-The canonical form drops copyright lines, lower-cases, turns every run of punctuation and white space into one space and
+The canonical form lower-cases, drops copyright lines and lines of "all rights reserved" alone, turns every run of punctuation and white space into one space and
 settles equivalent spellings. Its SHA-256 is looked up among the digests of known texts by a hash join. What is looked up
 whole is each document, and each of its lines as a text of its own, so that a notice inside a document is found too.
 
@@ -13,6 +13,9 @@ documents of their own, repeated or null doc_ids too. A line that occurs twice c
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +23,21 @@ from cropledger.llm.licence_texts import KNOWN
 
 MOST_KNOWN = 10_000
 
-#: (pattern, replacement with $1 for the first group), applied in this order around lower-casing; the same in Java and RE2.
+#: (pattern, replacement with $1 for the first group), applied in this order after lower-casing; the same in Java and RE2,
+#: but that Java needs the flag d for lines that end at \n alone.
+#: Words that follow "copyright" in the licences themselves, where a line may break before it: such lines stay.
+BODY = (
+    r"(?m)^([^\p{L}\p{N}\n©(]*copyright)[ \t\x{A0}]+((?:(?:holder|owner|notice|statement|permission|interest|law|licen[cs]e|doctrine|treat(?:y|ie)|"
+    r"disclaimer)s?|ownership|resulting|and|or|on|if|are|of|is|in|to|as|the[ \t]+(?:software|library|program))\b|the[ \t\r]*$)", "$1_$2",
+)
 COPYRIGHT = (
-    r"(?i)(^|\n)[^\p{L}\p{N}\n©(]*(copyright[ \t]+(\(c\)|©|[0-9]{4}|[\[<{])|\(c\)[ \t]*[0-9]{4}|©)[^\n]*", "$1",
+    r"(?m)^[^\p{L}\p{N}\n©(]*(?:copyright[ \t\x{A0}]*(?::|\(c\)|©|[0-9\[<{])|copyright[ \t\x{A0}]+(?:\([0-9]|[^ \t\r\n\x{A0}(])|"
+    r"\(c\)[ \t]*[0-9]{4}|©)[^\n]*", "",
 )
+RESERVED = (r"(?m)^[^\p{L}\p{N}\n]*all[ \t]+rights[ \t]+reserved[^\p{L}\p{N}\n]*$", "")
+LINES = [BODY, COPYRIGHT, RESERVED]
+#: A text without any of these has no such line.
+SIGNS = ("copyright", "(c)", "©", "reserved")
 MARKS = (r"[^\p{L}\p{N}]+", " ")
 SPELLINGS = [
     (r"(^| )licenc", "$1licens"),
@@ -40,8 +54,12 @@ SPELLINGS = [
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text, words one space apart."""
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), *COPYRIGHT)
-    out = F.trim(F.regexp_replace(F.lower(out), *MARKS))
+    low = F.lower(F.coalesce(text, F.lit("")))
+    out = low
+    for pattern, put in LINES:
+        out = F.regexp_replace(out, pattern.replace("(?m)", "(?md)"), put)
+    out = F.when(functools.reduce(operator.or_, (F.contains(low, F.lit(sign)) for sign in SIGNS)), out).otherwise(low)
+    out = F.trim(F.regexp_replace(out, *MARKS))
     for pattern, put in SPELLINGS:
         out = F.regexp_replace(out, pattern, put)
     return out
@@ -51,7 +69,10 @@ def canonical_sql(text: str) -> str:
     """The same as SQL with RE2 patterns."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     step = lambda x, pattern, put: f"regexp_replace({x}, {quoted(pattern)}, {quoted(put.replace('$', chr(92)))}, 'g')"
-    out = f"trim({step(f'lower({step(f"coalesce({text}, {quoted('')})", *COPYRIGHT)})', *MARKS)})"
+    out = f"lower(coalesce({text}, {quoted('')}))"
+    for line in LINES:
+        out = step(out, *line)
+    out = f"trim({step(out, *MARKS)})"
     for pattern, put in SPELLINGS:
         out = step(out, pattern, put)
     return out

@@ -1,5 +1,7 @@
 """Whole texts against known licences."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from cropledger.llm import licences
@@ -74,3 +76,24 @@ def test_whole_licences_and_usual_notices(documents):
     older = texts["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307")
     got = found(documents([short, older]))
     assert [got[k][0] for k in range(2)] == ["Apache-2.0", "GPL-2.0"]
+
+
+def test_copyright_lines_of_every_form_go(documents):
+    lines = [
+        "Copyright Joyent, Inc. and other Node contributors.", "Copyright The Kubernetes Authors.", "Copyright: 2020 X", "Copyright(c) 2020 X",
+        "All rights reserved.", "Copyright by the authors", " * COPYRIGHT JOYENT, INC.\r", "Copyright (c) 2020 X\nAll rights reserved.\nAll rights reserved.\r",
+        "// © 2020 X", "Copyright Lawson Software", "copyright ory corp",
+    ]
+    bsd = BSD_HEAD + BSD_NAME + BSD_TAIL
+    got = found(documents([f"{line}\n\n{text}" for line in lines for text in (MIT, bsd)] + lines))
+    assert [got[k][0] for k in range(len(got))] == ["MIT", "BSD-3-Clause"] * len(lines) + [None] * len(lines)
+
+
+def test_lines_of_a_licence_that_start_with_copyright_stay(documents):
+    body = [(n, t) for n, t in KNOWN if len(t) > 200 and "copyright" in t.lower()]
+    # the words of the licences and not those of the copyright lines that they hold or suggest
+    wrapped = [re.sub(r"\s+(?=copyright (?!\(c\)|\[|<|owner\]))", "\n", t, flags=re.I) for _, t in body]
+    got = found(documents(wrapped))
+    assert {k: n for k, (n, _) in enumerate(body) if got[k][0] != n} == {}
+    kept = "No copyright holder is liable.\nAll rights reserved by someone else"
+    assert found(documents([f"{MIT}\n{x}" for x in kept.split("\n")])) == {0: (None, "", 0), 1: (None, "", 0)}
