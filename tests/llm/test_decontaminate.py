@@ -100,3 +100,19 @@ def test_keep_clean_returns_rows_unchanged(spark):
     clean = dc.keep_clean(spark, df, spark.createDataFrame([(1, "alpha beta gamma delta")], ITEMS))
     assert clean.columns == df.columns
     assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, [(2, 8, "clean"), (2, 8, "clean"), (None, 7, None)]))
+
+
+def test_verbatim_passages_in_unspaced_text_and_behind_marks():
+    draw = random.Random(5)
+    for low, high in ((0x4E00, 0x9F00), (0x3041, 0x3090), (0x0E01, 0x0E2E)):
+        def run(n, low=low, high=high):
+            return "".join(chr(draw.randrange(low, high)) for _ in range(n))
+        items = [run(n) for n in (11, 12, 16, 25, 40, 90, 200)]
+        docs = [f"{run(57)}{item}{run(61)}" for item in items]
+        got = {(r[0], r[1], r[2]) for r in dc.Index(list(enumerate(items))).search(pa.array(docs))}
+        assert {(k, k, 0) for k in range(len(items))} <= got
+    items = [f"{'abcdefgh'[k]}orematicallyinterwovenitems of {k}{'x' * k}" for k in range(5)]
+    assert all(32 <= len(item) <= 40 for item in items)
+    for before in ('"', "(", "Q:", "[", "“", "«", "-", "、", "x'"):
+        got = {(r[0], r[1], r[2]) for r in dc.Index(list(enumerate(items))).search(pa.array([f"so {before}{item}" for item in items]))}
+        assert {(k, k, 0) for k in range(len(items))} <= got, before
