@@ -116,3 +116,19 @@ def test_verbatim_passages_in_unspaced_text_and_behind_marks():
     for before in ('"', "(", "Q:", "[", "“", "«", "-", "、", "x'"):
         got = {(r[0], r[1], r[2]) for r in dc.Index(list(enumerate(items))).search(pa.array([f"so {before}{item}" for item in items]))}
         assert {(k, k, 0) for k in range(len(items))} <= got, before
+
+
+@pytest.mark.parametrize("size", [20, 25, 32, 36, 45, 60, 80])
+def test_recall_of_short_items(size):
+    draw = random.Random(size)
+    words = ["".join(draw.choice("etaoinshrdlucm") for _ in range(draw.randint(2, 9))) for _ in range(3000)]
+
+    def text(n):
+        return " ".join(draw.choice(words) for _ in range(n))[:n].strip().ljust(n, "a")
+
+    items = [text(size) for _ in range(100)]
+    index = dc.Index(list(enumerate(items)))
+    docs = [f"{text(200)} {edited(draw, item, index.limit(k))} {text(200)}" for k, item in enumerate(items)]
+    want = [k for k, doc in enumerate(docs) if dc.ends(items[k], " ".join(doc.split()))[0] <= index.limit(k)]
+    got = {(r[0], r[1]) for r in index.search(pa.array(docs))}
+    assert sum((k, k) in got for k in want) / len(want) >= 0.95
