@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.llm import (
-    dart_minhash, decontaminate, exact_dedup, html_text, importance, licences, packing, secrets, toxicity, warc,
+    dart_minhash, decontaminate, exact_dedup, filter_audit, html_text, importance, licences, packing, secrets, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,49 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_cgk_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), flags AS (
+        SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+               100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+               doc_id > min(doc_id) OVER (PARTITION BY text) AS e
+        FROM texts
+    ), rated AS (
+        SELECT part, [a, b, c, d, e] AS fails, l.quality = 1 AS good, l.toxic = 1 AS toxic FROM flags LEFT JOIN labels l USING (doc_id)
+    ), letters AS (
+        SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)) AS v(filter, place)
+    ), orders AS (
+        SELECT p.filter || q.filter || r.filter || s.filter || t.filter AS filter_order,
+               [p.place, q.place, r.place, s.place, t.place] AS places
+        FROM letters p, letters q, letters r, letters s, letters t
+        WHERE len(list_distinct([p.place, q.place, r.place, s.place, t.place])) = 5
+    ), grouped AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM rated GROUP BY ALL
+    ), steps AS (
+        SELECT filter_order, step, places[step] AS place, places[1:step - 1] AS earlier FROM orders, range(1, 6) AS s(step)
+    ), judged AS (
+        SELECT part, filter_order, step, place, n, good, toxic, fails[place] AS failing,
+               len(list_filter(earlier, lambda p: fails[p])) = 0 AS present, len(list_filter(fails, lambda f: f)) AS failed
+        FROM grouped, steps
+    ), summed AS (
+        SELECT part, filter_order, step, place, CAST(coalesce(sum(n) FILTER (present AND NOT failing), 0) AS BIGINT) AS kept,
+               CAST(coalesce(sum(n) FILTER (present AND failing), 0) AS BIGINT) AS removed,
+               CAST(coalesce(sum(n) FILTER (NOT present AND failing), 0) AS BIGINT) AS redundant,
+               CAST(coalesce(sum(n) FILTER (failing AND failed = 1), 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(sum(good) FILTER (present AND failing), 0) AS BIGINT) AS good_lost,
+               CAST(coalesce(sum(toxic) FILTER (present AND failing), 0) AS BIGINT) AS toxic_lost
+        FROM judged GROUP BY ALL
+    )
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, place) AS BIGINT) AS shapley, substr(filter_order, CAST(step AS INTEGER), 1) AS filter
+    FROM summed
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
