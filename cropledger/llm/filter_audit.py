@@ -246,4 +246,6 @@ def orders(counted: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, *, part: str = "source") -> DataFrame:
     """One row per part, order of the five filters and step, with what the step keeps and removes."""
     work = WorkFolder(docs.sparkSession)
-    return orders(work.keep("counts", counts(masks(docs, work, part=part), labels)))
+    counted = work.keep("counts", counts(masks(docs, work, part=part), labels))
+    work.drop("flags", "repeats", "firsts")
+    return orders(counted)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.llm import (
-    dart_minhash, decontaminate, exact_dedup, filter_audit, html_text, importance, licences, packing, secrets, toxicity, warc,
+    dart_minhash, decontaminate, exact_dedup, filter_audit, html_text, importance, licences, packing, secrets, spelling, suffix_tree,
+    toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +162,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_suffix_tree")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
