@@ -266,7 +266,7 @@ class Walk:
     def deeper(self, depth: int) -> Pairs:
         """Pairs of the contexts of ``depth`` words that may be retained."""
         before = np.concatenate([[0], self.pair[:-1]])
-        often = np.concatenate([[0], np.where(self.pair[:-1] >= 0, self.counts[self.pair[:-1]], 0)])
+        often = np.concatenate([[0], np.append(self.counts, 0)[self.pair[:-1]]])  # no pair: -1, none
         self.at = np.flatnonzero((self.place >= depth) & self.inside & (often >= self.shape.least))
         # Words seen less than twice follow no context twice: as one blank they ask for the context only.
         n = len(self.words)
