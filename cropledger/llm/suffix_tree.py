@@ -12,8 +12,9 @@ where the first term counts from two occurrences on. It sums to one over all wor
 Counts do not fit a broadcast, so texts come to the counts. Documents are cut into blocks of about ``BLOCK`` tokens, written once. For
 each depth a block asks for its distinct (context, word) pairs, with its own training counts and the probability so far; requests
 meet by context, are summed over all blocks, and each block gets the totals of its pairs back, and what the divergence test needs of
-each of its contexts. With all replies a block scores its documents. Pairs are 64-bit hashes, packed by block and part:
-a request has about 12 bytes a distinct pair. The parts grow in number with the tokens. A context with more than its share of the
+each of its contexts. With all replies a block scores its documents. Words are 64-bit hashes at first; the first reply numbers those
+seen twice or more, each further one numbers its pairs, which are the contexts of the next depth, so that a request, packed by block
+and part, has about 7 bytes a distinct pair. The parts grow in number with the tokens. A context with more than its share of the
 tokens is cut into so many parts, by word, as it has shares; a block that has the context asks all of them and adds up.
 
 Defined results: a null text is empty, and has its end only. A null doc_id is never held out. Rows that repeat a doc_id are documents
@@ -24,6 +25,7 @@ training documents every token has probability 1 / (V + 1) = 1. An empty table g
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.llm import text as tx
@@ -55,11 +57,11 @@ BLOCK, PART = 1 << 20, 1 << 21
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 BLANK = np.array([tx.SPACE if b == 32 or 9 <= b <= 13 else tx.WORD for b in range(256)], np.uint8)
 END = np.uint64(0x51AFD7ED558CCD6D)
-NEXT, PIECE = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+PIECE = np.uint64(0xC4CEB9FE1A85EC53)
 
 BLOCKS = "block long, size long, ids array<long>, held binary, lengths binary, tokens binary, words binary"
 REQUEST = "block long, part long, context binary, total binary, width binary, word binary, count binary, prior binary"
-REPLY = "block long, part long, count binary, mass binary, entries binary, prior binary, gain binary, words long, tokens long"
+REPLY = "block long, part long, count binary, number binary, mass binary, entries binary, prior binary, gain binary, words long, tokens long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -68,12 +70,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the write they were made for, not when the driver next collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _squeezed(values: np.ndarray, kind: str) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
+    """Numbers, compressed byte by byte of all of them: high bytes that hardly differ take no room."""
+    values = np.ascontiguousarray(values, kind)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _released(data, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data.as_buffer()), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data.as_buffer()), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).reshape(-1).view(kind)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +117,12 @@ def _blocks(size: int):
         ids, held, hashes, lengths = [], [], [], []
 
         def block() -> pa.RecordBatch:
-            words, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            words, place, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            # Frequent words get low numbers, whose high bytes are zero.
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            words, place = words[order], rank[place]
             return pa.RecordBatch.from_pylist(
                 [{
                     "block": number, "size": len(place), "ids": sum(ids, []), "held": np.array(sum(held, []), np.uint8).tobytes(),
@@ -135,7 +159,7 @@ class Pairs:
 
     def __init__(self, context: np.ndarray, contexts: np.ndarray, totals: np.ndarray, word: np.ndarray, count: np.ndarray,
                  prior: np.ndarray, parts: int, share: float):
-        """``context`` numbers the hashes ``contexts``; a context with ``totals`` above ``share`` is cut into pieces."""
+        """``context`` points into ``contexts``; a context with ``totals`` above ``share`` is cut into pieces."""
         pieces = np.maximum(np.ceil(totals / share), 1).astype(np.int64)
         pieces[pieces <= 2] = 1
         piece = (tx.mix(word) % pieces[context].astype(np.uint64)).astype(np.uint64)
@@ -167,32 +191,40 @@ class Pairs:
         for part, a, b, h, g in zip(self.part, self.first, ends, heads, np.append(heads[1:], len(self.header))):
             own = self.context[self.header[h:g]]
             yield {
-                "block": block, "part": int(part), "context": self.contexts[own].astype("<u8").tobytes(),
+                "block": block, "part": int(part), "context": _squeezed(self.contexts[own], "<u8"),
                 "total": _squeezed(self.totals[own], "<u8"), "width": _squeezed(width[h:g], "<u4"),
                 "word": _squeezed(self.word[a:b], "<u8"), "count": _squeezed(self.count[a:b], "<u4"),
                 "prior": _squeezed(self.prior[a:b], "<f2"),
             }
 
-    def read(self, replies: pa.Table) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """Totals of the pairs, and sums by context, from the replies of all parts."""
+    def read(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+        """Totals and numbers of the pairs, and sums by context, from the replies of all parts."""
         replies = replies.sort_by("part")
 
         def every(name: str, kind: str) -> np.ndarray:
             return np.concatenate([np.empty(0, kind), *[_released(x, kind) for x in replies.column(name)]])
 
-        found = np.empty(len(self.order), np.int64)
+        found, number = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
         found[self.order] = every("count", "<u8")
+        number[self.order] = every("number", "<u8")
         by = self.context[self.header]
         sums = {k: np.bincount(by, every(k, kind), len(self.contexts)) for k, kind in SUMS.items()}
-        return found[: self.n], sums
+        return found[: self.n], number[: self.n], sums
 
 
 SUMS = {"mass": "<f8", "entries": "<f8", "prior": "<f8", "gain": "<f8"}
 
 
-def _answer(key: tuple, asked: pa.Table) -> pa.Table:
+def _answered(parts: int):
+    def run(key: tuple, asked: pa.Table) -> pa.Table:
+        return _answer(key[0].as_py(), parts, asked)
+
+    return run
+
+
+def _answer(part: int, parts: int, asked: pa.Table) -> pa.Table:
     """Sum the requests of one part over all blocks; the reply to a block is in the order of its request."""
-    contexts = [np.frombuffer(x.as_buffer(), "<u8") for x in asked.column("context")]
+    contexts = [_released(x, "<u8") for x in asked.column("context")]
     widths = [_released(x, "<u4") for x in asked.column("width")]
     context = np.concatenate([np.repeat(c, w) for c, w in zip(contexts, widths)])
     total = np.concatenate([np.repeat(_released(t, "<u8"), w) for t, w in zip(asked.column("total"), widths)])
@@ -205,12 +237,13 @@ def _answer(key: tuple, asked: pa.Table) -> pa.Table:
     new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
     first = np.flatnonzero(new)
     summed = np.add.reduceat(count[order], first)
-    every = np.empty(len(order), np.int64)
-    every[order] = summed[np.cumsum(new) - 1]
+    seen = summed > 1
+    number = np.where(seen, np.cumsum(seen) * parts + part, 0)
+    pair = np.empty(len(order), np.int64)
+    pair[order] = np.cumsum(new) - 1
 
     # What the test needs of a context: successors seen at least twice, and how much better it predicts them.
     context, total, prior = context[first], total[order][first].astype(float), prior[order][first].astype(np.float64)
-    seen = summed > 1
     known = np.flatnonzero(np.diff(context, prepend=context[:1] + np.uint64(1)) != 0)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(seen, summed * (np.log(summed / total) - prior * np.log(2.0)), 0.0)
@@ -221,14 +254,14 @@ def _answer(key: tuple, asked: pa.Table) -> pa.Table:
     sums = {k: np.add.reduceat(v, known).astype(float) for k, v in sums.items()}
     out, at = [], 0
     for k, (block, own, width) in enumerate(zip(asked.column("block").to_pylist(), contexts, widths)):
-        n = int(width.sum())
+        mine = pair[at : at + int(width.sum())]
+        at += len(mine)
         place = np.searchsorted(context[known], own)
         out.append(
-            {"block": block, "part": key[0].as_py(), "count": _squeezed(every[at : at + n], "<u8")}
+            {"block": block, "part": part, "count": _squeezed(summed[mine], "<u8"), "number": _squeezed(number[mine], "<u8")}
             | {name: _squeezed(v[place], "<f8") for name, v in sums.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
         )
-        at += n
     return pa.Table.from_pylist(out, _arrow(REPLY))
 
 
@@ -254,11 +287,10 @@ class Walk:
         """Single words: each is its own context here, so that the empty one is spread over all parts."""
         n = len(self.words)
         count, none = np.bincount(self.word[self.trains], minlength=n), np.zeros(n, np.int64)
-        self.hashes = tx.mix(self.words + NEXT)
-        return Pairs(np.arange(n), self.hashes, none, none.astype(np.uint64), count, none.astype(float), self.parts, 1.0)
+        return Pairs(np.arange(n), self.words, none, none.astype(np.uint64), count, none.astype(float), self.parts, 1.0)
 
-    def begin(self, counts: np.ndarray, total: int, distinct: int) -> None:
-        self.total, self.known = total, counts
+    def begin(self, counts: np.ndarray, numbers: np.ndarray, total: int, distinct: int) -> None:
+        self.total, self.known, self.names, self.numbers = total, counts, numbers, numbers
         self.base = (counts + PRIOR) / (total + PRIOR * (distinct + 1))
         self.p = self.base[self.word]
         self.pair, self.counts, self.inside = self.word, counts, np.ones(len(self.word), bool)
@@ -273,19 +305,18 @@ class Walk:
         follows = np.where(self.known > 1, np.arange(n), n)[self.word[self.at]]
         key, self.which = np.unique(before[self.at] * (n + 1) + follows, return_inverse=True)
         context, word = np.divmod(key, n + 1)
-        hashes = np.append(self.words, np.uint64(0))[word]
+        names = np.append(self.names, np.uint64(0))[word]
         used, self.context = np.unique(context, return_inverse=True)
         self.totals = self.counts[used]
         prior = np.empty(len(key))
         prior[self.which] = np.log2(self.p[self.at])
         count = np.bincount(self.which[self.trains[self.at] & (follows < n)], minlength=len(key))
-        contexts = self.hashes[used]
-        self.hashes = tx.mix(contexts[self.context] * NEXT + hashes)
         share = max(self.total, 1) / self.parts
-        return Pairs(self.context, contexts, self.totals, hashes, count, prior, self.parts, share)
+        return Pairs(self.context, self.numbers[used], self.totals, names, count, prior, self.parts, share)
 
-    def down(self, counts: np.ndarray, sums: dict[str, np.ndarray]) -> None:
+    def down(self, counts: np.ndarray, numbers: np.ndarray, sums: dict[str, np.ndarray]) -> None:
         """Retain contexts and refine the probabilities of their successors."""
+        self.numbers = numbers
         total, mass, entries = self.totals.astype(float), sums["mass"], sums["entries"]
         with np.errstate(divide="ignore", invalid="ignore"):
             rest = (total - mass) * np.log((total - mass) / total / np.maximum(1.0 - sums["prior"], 1e-9))
@@ -341,11 +372,11 @@ def _with_replies(depth: int, total: int, distinct: int, parts: int, shape: Shap
         walk = Walk({name: blocks.column(name)[0] for name in blocks.column_names}, parts, shape)
         for d in range(depth):
             pairs = walk.deeper(d) if d else walk.start()
-            found, sums = pairs.read(replies.filter(pc.equal(replies.column("depth"), d)))
+            found, numbers, sums = pairs.read(replies.filter(pc.equal(replies.column("depth"), d)))
             if d:
-                walk.down(found, sums)
+                walk.down(found, numbers, sums)
             else:
-                walk.begin(found, total, distinct)
+                walk.begin(found, numbers, total, distinct)
         return finish(walk)
 
     return run
@@ -353,8 +384,12 @@ def _with_replies(depth: int, total: int, distinct: int, parts: int, shape: Shap
 
 def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shape: Shape = Shape()) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    work = WorkFolder(spark)
+    with _shuffles_removed(docs.sparkSession):
+        return _score(docs, doc_id, text, shape)
+
+
+def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
+    work = WorkFolder(docs.sparkSession)
     slim = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id).cast("long")).alias("held"), F.col(text).alias("text")
     )
@@ -365,7 +400,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shape:
     replies = None
     total = distinct = 0
     for d in range(shape.depth + 1):
-        answers = asked.groupBy("part").applyInArrow(_answer, REPLY).withColumn("depth", F.lit(d))
+        answers = asked.groupBy("part").applyInArrow(_answered(parts), REPLY).withColumn("depth", F.lit(d))
         answers = work.keep(f"replies{d}", answers)
         if d == 0:
             sums = answers.agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).first()
