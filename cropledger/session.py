@@ -81,6 +81,12 @@ def file_listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int],
     return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in store.listStatus(target)))
 
 
+def folder_children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    store, target = _located(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     store, target = _located(spark, path)
     return store.exists(target)

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
+_TYPES = {
+    "string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()),
+}
 
 
 def literal_table(spark: SparkSession, schema: dict[str, str], rows: Sequence[Sequence]) -> DataFrame:
