@@ -7,15 +7,16 @@ rendered top down. Blocks start lines; paragraphs, headings, lists, tables and t
 columns are as wide as their widest cell.
 
 Defined results: null or empty pages have empty text. Unclosed tags, quotes and comments end with the page. Elements more
-than ``DEPTH`` levels deep become siblings, as in browsers. Rows are rendered one by one, repeated rows and null ids too.
+than ``DEPTH`` levels deep become siblings, as in browsers; tables there lay out no cells of their own. Rows are rendered one by
+one, repeated rows and null ids too. Work is in proportion to the page, whatever it holds.
 """
 
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -64,8 +65,7 @@ CLOSED_BY = {
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)?))?")
 BLANK = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
-COMMENT = re.compile(r"/\*.*?\*/", re.S)
+OTHER_MEDIA = re.compile(r"@media\s+(?:print|speech)[^{@]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}")
 SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
 
 
@@ -82,6 +82,8 @@ class Tree:
     def __init__(self, html: str):
         self.root = Node("html")
         self.open = [self.root]
+        self.ignored = 0  # tables below the depth that is kept
+        self.next: dict[str, int] = {}
         self.styles: list[str] = []
         self._read(html)
 
@@ -96,6 +98,13 @@ class Tree:
                 self._text(html[at:tag])
             at = self._markup(html, tag)
 
+    def _find(self, html: str, sign: str, at: int) -> int:
+        """Next place of a character, -1 if there is none; looked for once, not for every tag."""
+        known = self.next.get(sign, -2)
+        if known != -1 and known < at:
+            known = self.next[sign] = html.find(sign, at)
+        return known
+
     def _markup(self, html: str, at: int) -> int:
         """Handle what starts with < at ``at``; where it ends."""
         if html.startswith("<!--", at):
@@ -118,8 +127,8 @@ class Tree:
                 break
             found = ATTRIBUTE.match(html, pos)
             if not found or found.end() == pos:
-                close = html.find(">", pos)
-                quote = min((k for k in (html.find('"', pos), html.find("'", pos)) if k >= 0), default=-1)
+                close = self._find(html, ">", pos)
+                quote = min((k for k in (self._find(html, '"', pos), self._find(html, "'", pos)) if k >= 0), default=-1)
                 if close < 0 or 0 <= quote < close and html.find(html[quote], quote + 1) < 0:
                     return len(html)  # the page ends inside a tag
                 pos = max(close, pos) if quote < 0 or quote > close else quote + 1
@@ -220,6 +229,9 @@ class Tree:
                 self._close(*CLOSED_BY[tag])
             while self.open[-1].tag not in ("table", "tr", *GROUPS):
                 self.open.pop()
+        elif tag == "table" and len(self.open) >= DEPTH:
+            self.ignored += 1
+            return
         elif tag == "table" and self.open[-1].tag in ("table", "tr", *GROUPS):
             self._close({"table"}, set())
         elif tag in CLOSED_BY:
@@ -232,9 +244,10 @@ class Tree:
             self._push(Node(tag, attrs))
 
     def _push(self, node: Node) -> None:
-        self._put(node)
-        if len(self.open) >= DEPTH and self.open[-1].tag not in ("table", "tr", *GROUPS):
+        """Open an element; at the depth kept, in place of the one it would lie in. Parts of a table stay open."""
+        if len(self.open) >= DEPTH and self.open[-1].tag not in ("table", "tr", "caption", *GROUPS, *CELLS):
             self.open.pop()
+        self._put(node)
         self.open.append(node)
 
     def _end(self, tag: str) -> None:
@@ -248,6 +261,8 @@ class Tree:
             self._close({tag}, SCOPE | CLOSES_P | LINE)
         elif tag in CELLS or tag == "caption" or tag == "tr" or tag in GROUPS:
             self._close({tag}, {"table"})
+        elif tag == "table" and self.ignored:
+            self.ignored -= 1
         elif tag == "table":
             self._close({"table"}, set())
         elif tag == "head":
@@ -269,33 +284,66 @@ def _declared(text: str) -> dict[str, str]:
     return {k: v for k, (_, v) in found.items()}
 
 
+def _uncommented(sheet: str) -> str:
+    """A style sheet without comments; an unclosed one goes to the end."""
+    out, at = [], 0
+    while (start := sheet.find("/*", at)) >= 0:
+        out.append(sheet[at:start])
+        end = sheet.find("*/", start + 2)
+        at = len(sheet) if end < 0 else end + 2
+    return "".join([*out, sheet[at:]])
+
+
+def _rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of each innermost pair of braces."""
+    for piece in sheet.split("}")[:-1]:
+        head, brace, body = piece.rpartition("{")
+        if brace:
+            yield head.rpartition("{")[2], body
+
+
 class Styles:
-    """Rules of simple selectors (element, classes, id), for every medium or screens."""
+    """Rules of simple selectors (element, classes, id), for every medium or screens.
+
+    A rule lies under the rarest name of its selector, so that an element meets few others than its own.
+    """
 
     def __init__(self, sheets: list[str]):
-        self.rules: list[tuple[tuple[int, int, int], int, str, set[str], set[str], dict[str, str]]] = []
+        last: dict[tuple, tuple[int, str]] = {}  # of equal selectors and properties the last counts
         for sheet in sheets:
-            sheet = re.sub(r"@media\s+(?:print|speech)[^{]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}", "", COMMENT.sub("", sheet))
-            for selectors, body in RULE.findall(sheet):
+            for selectors, body in _rules(OTHER_MEDIA.sub("", _uncommented(sheet))):
                 said = _declared(body)
                 for one in selectors.split(",") if said else ():
                     plain = SIMPLE.fullmatch(one.strip())
                     if plain and one.strip():
-                        ids = set(re.findall(r"#([\w-]+)", plain[2]))
-                        kinds = set(re.findall(r"\.([\w-]+)", plain[2]))
+                        ids = frozenset(re.findall(r"#([\w-]+)", plain[2]))
+                        kinds = frozenset(re.findall(r"\.([\w-]+)", plain[2]))
                         tag = "" if plain[1] in (None, "*") else plain[1].lower()
-                        self.rules.append(((len(ids), len(kinds), bool(tag)), len(self.rules), tag, kinds, ids, said))
-        self.rules.sort(key=lambda r: r[:2])
+                        for key, value in said.items():
+                            last[tag, kinds, ids, key] = (len(last), value)
+        names = Counter(n for tag, kinds, ids, _ in last for n in self._names(tag, kinds, ids))
+        self.rules: dict[str, list[tuple]] = defaultdict(list)
+        for (tag, kinds, ids, key), (at, value) in last.items():
+            under = min(self._names(tag, kinds, ids), key=lambda n: (names[n], n), default="")
+            self.rules[under].append(((len(ids), len(kinds), bool(tag), at), tag, kinds, ids, key, value))
+        self.known = names.keys()
+        self.seen: dict[frozenset, dict[str, str]] = {}
+
+    @staticmethod
+    def _names(tag: str, kinds: frozenset, ids: frozenset) -> list[str]:
+        return [*([tag] if tag else []), *("." + k for k in kinds), *("#" + i for i in ids)]
 
     def of(self, node: Node) -> dict[str, str]:
         attrs = node.attrs
-        if not self.rules:
-            return _declared(attrs["style"]) if "style" in attrs else {}
         said: dict[str, str] = {}
-        kinds, own = set(attrs.get("class", "").split()), attrs.get("id", "")
-        for _, _, tag, classes, ids, body in self.rules:
-            if (not tag or tag == node.tag) and classes <= kinds and ids <= {own}:
-                said |= body
+        if self.rules:
+            kinds, own = set(attrs.get("class", "").split()), attrs.get("id", "")
+            names = frozenset(n for n in self._names(node.tag, kinds, {own}) if n in self.known)
+            if names not in self.seen:
+                met = [r for n in ("", *names) for r in self.rules.get(n, ())]
+                met = [r for r in met if (not r[1] or r[1] == node.tag) and r[2] <= kinds and r[3] <= {own}]
+                self.seen[names] = {r[4]: r[5] for r in sorted(met, key=lambda r: r[0])}
+            said = self.seen[names]
         return said | _declared(attrs["style"]) if "style" in attrs else said
 
 
@@ -389,21 +437,40 @@ def marker(kind: str, n: int) -> str:
     return f"{n}."
 
 
+#: A step of the rendering: it hands out the steps it needs done first, and is sent what they return.
+Step = Generator["Step", object, object]
+
+
+def _done(step: Step) -> object:
+    """What a step returns; steps wait on a list, not on the stack of the interpreter."""
+    waiting, value = [step], None
+    while waiting:
+        try:
+            step = waiting[-1].send(value)
+        except StopIteration as end:
+            waiting.pop()
+            value = end.value
+        else:
+            waiting.append(step)
+            value = None
+    return value
+
+
 class Page:
     def __init__(self, html: str):
         tree = Tree(html)
         self.styles = Styles(tree.styles)
         flow = Flow()
-        self._children(tree.root, flow, True, False)
+        _done(self._children(tree.root, flow, True, False))
         self.lines = flow.done()
 
-    def _children(self, node: Node, flow: Flow, seen: bool, exact: bool) -> None:
+    def _children(self, node: Node, flow: Flow, seen: bool, exact: bool) -> Step:
         for child in node.children:
             if isinstance(child, str):
                 if seen:
                     flow.text(child, exact)
             else:
-                self._element(child, flow, seen, exact)
+                yield self._element(child, flow, seen, exact)
 
     def _look(self, node: Node, seen: bool, exact: bool) -> tuple[bool, bool, bool, dict[str, str]]:
         """Is it rendered at all, does its own text show, is white space kept, its styles."""
@@ -424,7 +491,7 @@ class Page:
             exact = space.startswith("pre") or space == "break-spaces"
         return True, seen, exact, said
 
-    def _element(self, node: Node, flow: Flow, seen: bool, exact: bool) -> None:
+    def _element(self, node: Node, flow: Flow, seen: bool, exact: bool) -> Step:
         shown, seen, exact, said = self._look(node, seen, exact)
         if not shown:
             return
@@ -438,22 +505,22 @@ class Page:
             if seen and kind not in ("hidden", "password", "checkbox", "radio", "file", "image", "range", "color"):
                 flow.text(node.attrs.get("value", {"submit": "Submit", "reset": "Reset"}.get(kind, "")), False)
         elif tag == "table" and said.get("display", "table") in ("table", "inline-table"):
-            flow.block(self._table(node, seen, exact), 2)
+            flow.block((yield self._table(node, seen, exact)), 2)
         elif tag in ("ul", "ol", "menu", "dir"):
-            self._list(node, flow, seen, exact, said)
+            yield self._list(node, flow, seen, exact, said)
         elif tag == "li":
-            self._item(node, flow, seen, exact, "-")
+            yield self._item(node, flow, seen, exact, "-")
         elif tag == "select":
-            self._select(node, flow, seen)
+            yield self._select(node, flow, seen)
         elif tag == "details" and "open" not in node.attrs:
             flow.boundary(1)
             first = next((c for c in node.children if isinstance(c, Node) and c.tag == "summary"), None)
             if first:
-                self._element(first, flow, seen, exact)
+                yield self._element(first, flow, seen, exact)
             flow.boundary(1)
         elif tag in ("blockquote", "dd"):
             inner = Flow()
-            self._children(node, inner, seen, exact)
+            yield self._children(node, inner, seen, exact)
             flow.block(["  " + x if x else x for x in inner.done()], 2 if tag == "blockquote" else 1)
         else:
             gap = 2 if tag in PARAGRAPH else 1 if tag in LINE else 0
@@ -469,11 +536,11 @@ class Page:
             first = node.children[0] if exact and tag in ("pre", "listing") and node.children else None
             if isinstance(first, str) and first.startswith("\n"):
                 node.children[0] = first[1:]
-            self._children(node, flow, seen, exact)
+            yield self._children(node, flow, seen, exact)
             if gap:
                 flow.boundary(gap)
 
-    def _list(self, node: Node, flow: Flow, seen: bool, exact: bool, said: dict[str, str]) -> None:
+    def _list(self, node: Node, flow: Flow, seen: bool, exact: bool, said: dict[str, str]) -> Step:
         nested = node.attrs.get("\0nested") is not None
         flow.boundary(1 if nested else 2)
         bare = "none" in (said.get("list-style", "") + " " + said.get("list-style-type", "")).split()
@@ -486,27 +553,27 @@ class Page:
                 sign = "" if bare else marker(node.attrs.get("type", "1"), n) if node.tag == "ol" else "-"
                 shown, own, kept, _ = self._look(child, seen, exact)
                 if shown:
-                    self._item(child, flow, own, kept, sign)
+                    yield self._item(child, flow, own, kept, sign)
                     n += -1 if back else 1
             elif isinstance(child, Node):
-                self._element(child, flow, seen, exact)
+                yield self._element(child, flow, seen, exact)
             elif seen:
                 flow.text(child, exact)
         flow.boundary(1 if nested else 2)
 
-    def _item(self, node: Node, flow: Flow, seen: bool, exact: bool, sign: str) -> None:
+    def _item(self, node: Node, flow: Flow, seen: bool, exact: bool, sign: str) -> Step:
         for child in node.children:
             if isinstance(child, Node) and child.tag in ("ul", "ol", "menu", "dir"):
                 child.attrs["\0nested"] = ""
         inner = Flow()
-        self._children(node, inner, seen, exact)
+        yield self._children(node, inner, seen, exact)
         lines = inner.done()
         if sign and lines:
             pad = " " * (len(sign) + 1)
             lines = [f"{sign} {lines[0]}", *(pad + x if x else x for x in lines[1:])]
         flow.block(lines, 1)
 
-    def _select(self, node: Node, flow: Flow, seen: bool) -> None:
+    def _select(self, node: Node, flow: Flow, seen: bool) -> Step:
         options, stack = [], list(reversed(node.children))
         while stack:
             child = stack.pop()
@@ -520,11 +587,11 @@ class Page:
         for option in picked:
             if several:
                 flow.boundary(1)
-            self._children(option, flow, seen, False)
+            yield self._children(option, flow, seen, False)
         if several:
             flow.boundary(1)
 
-    def _table(self, node: Node, seen: bool, exact: bool) -> list[str]:
+    def _table(self, node: Node, seen: bool, exact: bool) -> Step:
         """Caption lines, then rows: cells padded to the widest of their column, two spaces apart."""
         captions: list[str] = []
         rows: dict[str, list[list[tuple[list[str], int, int]]]] = {"thead": [], "tbody": [], "tfoot": []}
@@ -536,24 +603,24 @@ class Page:
                 continue
             if child.tag == "caption":
                 inner = Flow()
-                self._children(child, inner, own, kept)
+                yield self._children(child, inner, own, kept)
                 captions += inner.done()
             elif child.tag in GROUPS:
                 for row in child.children:
                     if isinstance(row, Node) and row.tag == "tr":
                         shown, mine, keep, _ = self._look(row, own, kept)
                         if shown:
-                            rows[child.tag].append(self._cells(row, mine, keep))
+                            rows[child.tag].append((yield self._cells(row, mine, keep)))
         return captions + _aligned(rows["thead"] + rows["tbody"] + rows["tfoot"])
 
-    def _cells(self, row: Node, seen: bool, exact: bool) -> list[tuple[list[str], int, int]]:
+    def _cells(self, row: Node, seen: bool, exact: bool) -> Step:
         cells = []
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in CELLS:
                 shown, own, kept, _ = self._look(cell, seen, exact)
                 if shown:
                     inner = Flow()
-                    self._children(cell, inner, own, kept)
+                    yield self._children(cell, inner, own, kept)
                     across = min(max(_number(cell.attrs.get("colspan"), 1), 1), 1000)
                     down = min(max(_number(cell.attrs.get("rowspan"), 1), 0), 65534)
                     cells.append((inner.done(), across, down))
@@ -607,7 +674,6 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
 
 def render(html: str | None) -> str:
     """Visible text of one page."""
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * DEPTH))  # a level takes up to four calls
     return "\n".join(Page(html).lines) if html else ""
 
 

@@ -1,6 +1,7 @@
 """Rendering: implied tags, visibility, spacing, lists, tables; words against an independent walk over the markup."""
 
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -97,3 +98,51 @@ def test_nulls_repeats_deep_long_and_empty(spark):
     by = {r.page_id: r.text for r in got if r.page_id not in (1, None)}
     assert by[2] == "deep" and by[3].count("word") == 100_000 and "t" in by[4]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def depth_of(node):
+    deepest, left = 0, [(node, 1)]
+    while left:
+        node, at = left.pop()
+        deepest = max(deepest, at)
+        left += [(c, at + 1) for c in node.children if isinstance(c, html_text.Node)]
+    return deepest
+
+
+@pytest.mark.parametrize("opening", ["<div>", "<b>", "<table><tr><td>", "<ul><li>", "<table>", "<span><p>", "<blockquote>", "<table><caption>"])
+@pytest.mark.parametrize("n", [5_000, 100_000])
+def test_depth_is_bounded_and_no_text_is_lost(opening, n):
+    page = opening * n + "deepest" + "".join(f"</{t}>" for t in reversed(re.findall(r"\w+", opening))) * n + " after"
+    assert depth_of(html_text.Tree(page).root) <= html_text.DEPTH + 8
+    words = html_text.render(page).split()
+    assert "deepest" in words and "after" in words
+
+
+HOSTILE = {
+    "comments in a style": "<style>" + "/*" * 500_000 + "</style>text",
+    "a style without braces": "<style>" + "a " * 500_000 + "</style>text",
+    "open braces": "<style>" + "a{" * 500_000 + "</style>text",
+    "other media": "<style>" + "@media print " * 80_000 + "</style>text",
+    "rules of one class": "<style>" + ".a{display:block}" * 30_000 + "</style>" + "".join(f"<i id=i{k} class=a></i>" for k in range(20_000)) + "text",
+    "rules by id": "<style>" + "".join(f"#i{k}.a{{display:block}}" for k in range(20_000)) + "</style>" + "".join(f"<i id=i{k} class=a></i>" for k in range(20_000)) + "text",
+    "quotes in a tag": "<a " + "=\"" * 400_000 + "><p>text",
+    "signs": "<" * 1_000_000 + "<p>text",
+    "entities": "&" * 1_000_000 + "<p>text",
+    "declarations": "<!" * 500_000 + "><p>text",
+    "end tags": "<p>" + "</b>" * 250_000 + "text",
+    "wide rows": "<table><tr>" + "<td>a" * 20_000 + "</table>text",
+    "spans": "<table>" + "<tr><td colspan=1000 rowspan=9>x" * 2_000 + "</table>text",
+}
+
+
+@pytest.mark.parametrize("what", HOSTILE)
+def test_hostile_megabytes_take_seconds(what):
+    start = time.process_time()
+    html_text.render(HOSTILE[what])
+    assert time.process_time() - start < 20
+
+
+def test_the_last_of_equal_rules_counts_and_the_more_specific_wins():
+    page = "<style>.a{display:none} i.a{display:inline} .a{display:none} #x{visibility:hidden} /* .b{display:none} */ .b{color:red}</style>"
+    page += "<i class=a>one</i> <b class=a>two</b> <i class='a c' id=x>three</i> <u class=b>four</u> <style>.c{display:none}</style>"
+    assert html_text.render(page).split() == ["one", "four"]
