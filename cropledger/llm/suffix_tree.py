@@ -212,18 +212,22 @@ class Pairs:
         return found[: self.n], number[: self.n], sums
 
 
-SUMS = {"mass": "<f8", "entries": "<f8", "prior": "<f8", "gain": "<f8"}
+#: What is summed by context. Whole numbers are exact; the other two are rounded, for all blocks alike.
+SUMS = {"mass": "<u8", "entries": "<u4", "prior": "<f4", "gain": "<f4"}
 
 
-def _answered(parts: int):
+def _answered(parts: int, least: int):
     def run(key: tuple, asked: pa.Table) -> pa.Table:
-        return _answer(key[0].as_py(), parts, asked)
+        return _answer(key[0].as_py(), parts, least, asked)
 
     return run
 
 
-def _answer(part: int, parts: int, asked: pa.Table) -> pa.Table:
-    """Sum the requests of one part over all blocks; the reply to a block is in the order of its request."""
+def _answer(part: int, parts: int, least: int, asked: pa.Table) -> pa.Table:
+    """Sum the requests of one part over all blocks; the reply to a block is in the order of its request.
+
+    Pairs seen ``least`` times get a number.
+    """
     contexts = [_released(x, "<u8") for x in asked.column("context")]
     widths = [_released(x, "<u4") for x in asked.column("width")]
     context = np.concatenate([np.repeat(c, w) for c, w in zip(contexts, widths)])
@@ -238,7 +242,8 @@ def _answer(part: int, parts: int, asked: pa.Table) -> pa.Table:
     first = np.flatnonzero(new)
     summed = np.add.reduceat(count[order], first)
     seen = summed > 1
-    number = np.where(seen, np.cumsum(seen) * parts + part, 0)
+    named = summed >= least
+    number = np.where(named, np.cumsum(named) * parts + part, 0)
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
 
@@ -251,7 +256,7 @@ def _answer(part: int, parts: int, asked: pa.Table) -> pa.Table:
         "mass": np.where(seen, summed, 0), "entries": seen.astype(int), "prior": np.where(seen, 2.0**prior, 0.0),
         "gain": np.where(np.isfinite(gain), gain, 0.0),
     }
-    sums = {k: np.add.reduceat(v, known).astype(float) for k, v in sums.items()}
+    sums = {k: np.add.reduceat(v, known) for k, v in sums.items()}
     out, at = [], 0
     for k, (block, own, width) in enumerate(zip(asked.column("block").to_pylist(), contexts, widths)):
         mine = pair[at : at + int(width.sum())]
@@ -259,7 +264,7 @@ def _answer(part: int, parts: int, asked: pa.Table) -> pa.Table:
         place = np.searchsorted(context[known], own)
         out.append(
             {"block": block, "part": part, "count": _squeezed(summed[mine], "<u8"), "number": _squeezed(number[mine], "<u8")}
-            | {name: _squeezed(v[place], "<f8") for name, v in sums.items()}
+            | {name: _squeezed(v[place], SUMS[name]) for name, v in sums.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
         )
     return pa.Table.from_pylist(out, _arrow(REPLY))
@@ -400,7 +405,8 @@ def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
     replies = None
     total = distinct = 0
     for d in range(shape.depth + 1):
-        answers = asked.groupBy("part").applyInArrow(_answered(parts), REPLY).withColumn("depth", F.lit(d))
+        # Single words are numbered from two occurrences on, as they follow others; pairs where they may be contexts.
+        answers = asked.groupBy("part").applyInArrow(_answered(parts, shape.least if d else 2), REPLY).withColumn("depth", F.lit(d))
         answers = work.keep(f"replies{d}", answers)
         if d == 0:
             sums = answers.agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).first()
