@@ -59,7 +59,7 @@ BLANK = np.array([tx.SPACE if b == 32 or 9 <= b <= 13 else tx.WORD for b in rang
 END = np.uint64(0x51AFD7ED558CCD6D)
 PIECE = np.uint64(0xC4CEB9FE1A85EC53)
 
-BLOCKS = "block long, size long, ids array<long>, held binary, lengths binary, tokens binary, words binary"
+BLOCKS = "block long, size long, ids array<long>, held binary, lengths binary, tokens binary, places binary, words binary, seen binary"
 REQUEST = "block long, part long, context binary, total binary, width binary, word binary, count binary, prior binary"
 REPLY = "block long, part long, count binary, number binary, mass binary, entries binary, prior binary, gain binary, words long, tokens long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -118,21 +118,19 @@ def _blocks(size: int):
 
         def block() -> pa.RecordBatch:
             words, place, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            count = np.concatenate(lengths)
+            trains = np.repeat(~np.array(sum(held, []), bool), count)
             # Frequent words get low numbers, whose high bytes are zero.
             order = np.argsort(-often, kind="stable")
             rank = np.empty(len(words), np.int64)
             rank[order] = np.arange(len(words))
-            words, place = words[order], rank[place]
             return pa.RecordBatch.from_pylist(
                 [{
                     "block": number, "size": len(place), "ids": sum(ids, []), "held": np.array(sum(held, []), np.uint8).tobytes(),
-                    "lengths": np.concatenate(lengths).astype("<i8").tobytes(), "tokens": _squeezed(place, "<u4"),
-                    "words": words.astype("<u8").tobytes(),
+                    "lengths": _squeezed(count, "<u8"), "tokens": _squeezed(rank[place], "<u4"), "places": _squeezed(order, "<u4"),
+                    "words": words.astype("<u8").tobytes(), "seen": _squeezed(np.bincount(place[trains], minlength=len(words)), "<u4"),
                 }],
-                pa.schema([
-                    ("block", pa.int64()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.binary()), ("lengths", pa.binary()),
-                    ("tokens", pa.binary()), ("words", pa.binary()),
-                ]),
+                _arrow(BLOCKS),
             )
 
         n = 0
@@ -197,38 +195,66 @@ class Pairs:
                 "prior": _squeezed(self.prior[a:b], "<f2"),
             }
 
-    def read(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    def read(self, replies: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
         """Totals and numbers of the pairs, and sums by context, from the replies of all parts."""
-        replies = replies.sort_by("part")
+        count, number = _counts(replies, least)
+        found, numbers = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
+        found[self.order], numbers[self.order] = count, number
+        by = self.context[self.header]
+        entries = _every(replies, "entries", "<u4")
+        sums = {"entries": np.bincount(by, entries, len(self.contexts))}
+        for k, kind in SUMS.items():
+            sums[k] = np.bincount(by[entries > 0], _every(replies, k, kind), len(self.contexts))
+        return found[: self.n], numbers[: self.n], sums
 
-        def every(name: str, kind: str) -> np.ndarray:
-            return np.concatenate([np.empty(0, kind), *[_released(x, kind) for x in replies.column(name)]])
 
-        found, number = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
-        found[self.order] = every("count", "<u8")
-        number[self.order] = every("number", "<u8")
-        by = self.context[self.header]
-        sums = {k: np.bincount(by, every(k, kind), len(self.contexts)) for k, kind in SUMS.items()}
-        return found[: self.n], number[: self.n], sums
+def _every(replies: pa.Table, name: str, kind: str) -> np.ndarray:
+    """A column of the replies, in the order of parts."""
+    return np.concatenate([np.empty(0, kind), *[_released(x, kind) for x in replies.sort_by("part").column(name)]])
+
 
+def _counts(replies: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Totals and numbers of pairs; those below ``least`` have none."""
+    count = _every(replies, "count", "<u8").astype(np.int64)
+    number = np.zeros(len(count), np.uint64)
+    number[count >= least] = _every(replies, "number", "<u8")
+    return count, number
 
-#: What is summed by context. Whole numbers are exact; the other two are rounded, for all blocks alike.
-SUMS = {"mass": "<u8", "entries": "<u4", "prior": "<f4", "gain": "<f4"}
 
+def _word_requests(row: dict, parts: int) -> Iterator[dict]:
+    """What a block asks of single words, each its own context, so that the empty one is spread over all parts.
+
+    Parts are ranges of hashes, so that the words of a block lie in their order whatever the number of parts.
+    """
+    words, seen = np.frombuffer(row["words"].as_buffer(), "<u8"), _released(row["seen"], "<u4")
+    part = ((words >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(first, [*first[1:], len(words)]):
+        none = np.zeros(b - a)
+        yield {
+            "block": row["block"].as_py(), "part": int(part[a]), "context": words[a:b].tobytes(), "total": _squeezed(none, "<u8"),
+            "width": _squeezed(none + 1, "<u4"), "word": _squeezed(none, "<u8"), "count": _squeezed(seen[a:b], "<u4"),
+            "prior": _squeezed(none, "<f2"),
+        }
 
-def _answered(parts: int, least: int):
+
+#: What is summed by context beside its entries, where it has any. The last two are rounded, for all blocks alike.
+SUMS = {"mass": "<u8", "prior": "<f4", "gain": "<f4"}
+
+
+def _answered(parts: int, least: int, hashed: bool):
     def run(key: tuple, asked: pa.Table) -> pa.Table:
-        return _answer(key[0].as_py(), parts, least, asked)
+        return _answer(key[0].as_py(), parts, least, asked, hashed)
 
     return run
 
 
-def _answer(part: int, parts: int, least: int, asked: pa.Table) -> pa.Table:
+def _answer(part: int, parts: int, least: int, asked: pa.Table, hashed: bool) -> pa.Table:
     """Sum the requests of one part over all blocks; the reply to a block is in the order of its request.
 
     Pairs seen ``least`` times get a number.
     """
-    contexts = [_released(x, "<u8") for x in asked.column("context")]
+    contexts = [np.frombuffer(x.as_buffer(), "<u8") if hashed else _released(x, "<u8") for x in asked.column("context")]
     widths = [_released(x, "<u4") for x in asked.column("width")]
     context = np.concatenate([np.repeat(c, w) for c, w in zip(contexts, widths)])
     total = np.concatenate([np.repeat(_released(t, "<u8"), w) for t, w in zip(asked.column("total"), widths)])
@@ -262,16 +288,18 @@ def _answer(part: int, parts: int, least: int, asked: pa.Table) -> pa.Table:
         mine = pair[at : at + int(width.sum())]
         at += len(mine)
         place = np.searchsorted(context[known], own)
+        entries = sums["entries"][place]
         out.append(
-            {"block": block, "part": part, "count": _squeezed(summed[mine], "<u8"), "number": _squeezed(number[mine], "<u8")}
-            | {name: _squeezed(v[place], SUMS[name]) for name, v in sums.items()}
+            {"block": block, "part": part, "count": _squeezed(summed[mine], "<u8"), "number": _squeezed(number[mine][named[mine]], "<u8")}
+            | {"entries": _squeezed(entries, "<u4")}
+            | {name: _squeezed(sums[name][place[entries > 0]], kind) for name, kind in SUMS.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
         )
     return pa.Table.from_pylist(out, _arrow(REPLY))
 
 
 def _arrow(schema: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    kinds = {"array<long>": pa.list_(pa.int64()), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
     return pa.schema([(name, kinds[kind]) for name, kind in (column.split(" ") for column in schema.split(", "))])
 
 
@@ -281,20 +309,16 @@ class Walk:
     def __init__(self, row: dict, parts: int, shape: Shape):
         self.block, self.ids, self.parts, self.shape = row["block"].as_py(), row["ids"].as_py(), parts, shape
         self.held = np.frombuffer(row["held"].as_buffer(), np.uint8) == 1
-        self.lengths = np.frombuffer(row["lengths"].as_buffer(), "<i8")
+        self.lengths = _released(row["lengths"], "<u8").astype(np.int64)
         self.word = _released(row["tokens"], "<u4").astype(np.int64)
-        self.words = np.frombuffer(row["words"].as_buffer(), "<u8")
+        self.places = _released(row["places"], "<u4")
         self.trains = np.repeat(~self.held, self.lengths)
         first = np.cumsum(self.lengths) - self.lengths
         self.place = np.arange(len(self.word)) - np.repeat(first, self.lengths)
 
-    def start(self) -> Pairs:
-        """Single words: each is its own context here, so that the empty one is spread over all parts."""
-        n = len(self.words)
-        count, none = np.bincount(self.word[self.trains], minlength=n), np.zeros(n, np.int64)
-        return Pairs(np.arange(n), self.words, none, none.astype(np.uint64), count, none.astype(float), self.parts, 1.0)
-
-    def begin(self, counts: np.ndarray, numbers: np.ndarray, total: int, distinct: int) -> None:
+    def begin(self, replies: pa.Table, total: int, distinct: int) -> None:
+        """Single words, from the replies in the order of their hashes."""
+        counts, numbers = (x[self.places] for x in _counts(replies, 2))
         self.total, self.known, self.names, self.numbers = total, counts, numbers, numbers
         self.base = (counts + PRIOR) / (total + PRIOR * (distinct + 1))
         self.p = self.base[self.word]
@@ -306,7 +330,7 @@ class Walk:
         often = np.concatenate([[0], np.append(self.counts, 0)[self.pair[:-1]]])  # no pair: -1, none
         self.at = np.flatnonzero((self.place >= depth) & self.inside & (often >= self.shape.least))
         # Words seen less than twice follow no context twice: as one blank they ask for the context only.
-        n = len(self.words)
+        n = len(self.names)
         follows = np.where(self.known > 1, np.arange(n), n)[self.word[self.at]]
         key, self.which = np.unique(before[self.at] * (n + 1) + follows, return_inverse=True)
         context, word = np.divmod(key, n + 1)
@@ -356,12 +380,12 @@ def _table(pairs: Pairs, block: int) -> pa.Table:
     return pa.Table.from_pylist(list(pairs.requests(block)), _arrow(REQUEST))
 
 
-def _first_requests(parts: int, shape: Shape):
+def _first_requests(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                walk = Walk({name: batch.column(name)[k] for name in batch.schema.names}, parts, shape)
-                yield from _table(walk.start(), walk.block).to_batches()
+                row = {name: batch.column(name)[k] for name in batch.schema.names}
+                yield from pa.Table.from_pylist(list(_word_requests(row, parts)), _arrow(REQUEST)).to_batches()
 
     return run
 
@@ -376,12 +400,11 @@ def _with_replies(depth: int, total: int, distinct: int, parts: int, shape: Shap
     def run(key: tuple, blocks: pa.Table, replies: pa.Table) -> pa.Table:
         walk = Walk({name: blocks.column(name)[0] for name in blocks.column_names}, parts, shape)
         for d in range(depth):
-            pairs = walk.deeper(d) if d else walk.start()
-            found, numbers, sums = pairs.read(replies.filter(pc.equal(replies.column("depth"), d)))
+            own = replies.filter(pc.equal(replies.column("depth"), d))
             if d:
-                walk.down(found, numbers, sums)
+                walk.down(*walk.deeper(d).read(own, shape.least))
             else:
-                walk.begin(found, numbers, total, distinct)
+                walk.begin(own, total, distinct)
         return finish(walk)
 
     return run
@@ -401,12 +424,13 @@ def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
     blocks = work.keep("blocks", slim.mapInArrow(_blocks(BLOCK), BLOCKS))
     held = blocks.agg(F.sum("size").alias("n")).first()["n"] or 0
     parts = max(1, -(-held // PART))
-    asked = blocks.mapInArrow(_first_requests(parts, shape), REQUEST)
+    asked = blocks.select("block", "words", "seen").mapInArrow(_first_requests(parts), REQUEST)
+    blocks = blocks.drop("words", "seen")
     replies = None
     total = distinct = 0
     for d in range(shape.depth + 1):
         # Single words are numbered from two occurrences on, as they follow others; pairs where they may be contexts.
-        answers = asked.groupBy("part").applyInArrow(_answered(parts, shape.least if d else 2), REPLY).withColumn("depth", F.lit(d))
+        answers = asked.groupBy("part").applyInArrow(_answered(parts, shape.least if d else 2, d == 0), REPLY).withColumn("depth", F.lit(d))
         answers = work.keep(f"replies{d}", answers)
         if d == 0:
             sums = answers.agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).first()
