@@ -152,14 +152,28 @@ def _blocks(size: int):
     return run
 
 
+def _pieces(totals: np.ndarray, share: float) -> np.ndarray:
+    """Parts that contexts are cut into."""
+    pieces = np.maximum(np.ceil(totals / share), 1).astype(np.int64)
+    return np.where(pieces > 2, pieces, 1)
+
+
+def _retained(total: np.ndarray, sums: dict[str, np.ndarray], nats: float) -> np.ndarray:
+    """The divergence test, on the sums over a context's successors."""
+    total, mass = total.astype(float), sums["mass"].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rest = (total - mass) * np.log((total - mass) / total / np.maximum(1.0 - sums["prior"].astype(float), 1e-9))
+    gain = sums["gain"].astype(float) + np.where(total > mass, rest, 0.0)
+    return (sums["entries"] > 0) & (gain > nats * sums["entries"])
+
+
 class Pairs:
     """The distinct (context, word) pairs of a block at one depth: what to ask, and in what order answers come."""
 
     def __init__(self, context: np.ndarray, contexts: np.ndarray, totals: np.ndarray, word: np.ndarray, count: np.ndarray,
                  prior: np.ndarray, parts: int, share: float):
         """``context`` points into ``contexts``; a context with ``totals`` above ``share`` is cut into pieces."""
-        pieces = np.maximum(np.ceil(totals / share), 1).astype(np.int64)
-        pieces[pieces <= 2] = 1
+        pieces = _pieces(totals, share)
         piece = (tx.mix(word) % pieces[context].astype(np.uint64)).astype(np.uint64)
         # A block asks all pieces of a context, also those in which it has no pair: by a pair without a count.
         cut = np.flatnonzero(pieces > 1)
@@ -195,7 +209,7 @@ class Pairs:
                 "prior": _squeezed(self.prior[a:b], "<f2"),
             }
 
-    def read(self, replies: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    def read(self, replies: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
         """Totals and numbers of the pairs, and sums by context, from the replies of all parts."""
         count, number = _counts(replies, least)
         found, numbers = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
@@ -213,7 +227,7 @@ def _every(replies: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.concatenate([np.empty(0, kind), *[_released(x, kind) for x in replies.sort_by("part").column(name)]])
 
 
-def _counts(replies: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _counts(replies: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Totals and numbers of pairs; those below ``least`` have none."""
     count = _every(replies, "count", "<u8").astype(np.int64)
     number = np.zeros(len(count), np.uint64)
@@ -242,18 +256,21 @@ def _word_requests(row: dict, parts: int) -> Iterator[dict]:
 SUMS = {"mass": "<u8", "prior": "<f4", "gain": "<f4"}
 
 
-def _answered(parts: int, least: int, hashed: bool):
+def _answered(depth: int, parts: int, share: float, shape: Shape):
     def run(key: tuple, asked: pa.Table) -> pa.Table:
-        return _answer(key[0].as_py(), parts, least, asked, hashed)
+        return _answer(key[0].as_py(), asked, depth, parts, share, shape)
 
     return run
 
 
-def _answer(part: int, parts: int, least: int, asked: pa.Table, hashed: bool) -> pa.Table:
+def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, shape: Shape) -> pa.Table:
     """Sum the requests of one part over all blocks; the reply to a block is in the order of its request.
 
-    Pairs seen ``least`` times get a number.
+    Single words are numbered from two occurrences on, as they follow others; pairs where they may be contexts. Of a context that lies
+    in this part alone and is not retained, a block learns only which pairs may be contexts.
     """
+    hashed = depth == 0
+    least = 2 if hashed else shape.least if depth < shape.depth else 1 << 62
     contexts = [np.frombuffer(x.as_buffer(), "<u8") if hashed else _released(x, "<u8") for x in asked.column("context")]
     widths = [_released(x, "<u4") for x in asked.column("width")]
     context = np.concatenate([np.repeat(c, w) for c, w in zip(contexts, widths)])
@@ -283,6 +300,11 @@ def _answer(part: int, parts: int, least: int, asked: pa.Table, hashed: bool) ->
         "gain": np.where(np.isfinite(gain), gain, 0.0),
     }
     sums = {k: np.add.reduceat(v, known) for k, v in sums.items()}
+    sums |= {k: sums[k].astype("<f4") for k in ("prior", "gain")}
+    kept = hashed | (_pieces(total[known], share) > 1) | _retained(total[known], sums, shape.nats)
+    of = np.repeat(np.arange(len(known)), np.diff(known, append=len(context)))
+    shown = np.where(kept[of] | named, summed, 0)
+    sums["entries"] = np.where(kept, sums["entries"], 0)
     out, at = [], 0
     for k, (block, own, width) in enumerate(zip(asked.column("block").to_pylist(), contexts, widths)):
         mine = pair[at : at + int(width.sum())]
@@ -290,7 +312,7 @@ def _answer(part: int, parts: int, least: int, asked: pa.Table, hashed: bool) ->
         place = np.searchsorted(context[known], own)
         entries = sums["entries"][place]
         out.append(
-            {"block": block, "part": part, "count": _squeezed(summed[mine], "<u8"), "number": _squeezed(number[mine][named[mine]], "<u8")}
+            {"block": block, "part": part, "count": _squeezed(shown[mine], "<u8"), "number": _squeezed(number[mine][named[mine]], "<u8")}
             | {"entries": _squeezed(entries, "<u4")}
             | {name: _squeezed(sums[name][place[entries > 0]], kind) for name, kind in SUMS.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
@@ -347,10 +369,7 @@ class Walk:
         """Retain contexts and refine the probabilities of their successors."""
         self.numbers = numbers
         total, mass, entries = self.totals.astype(float), sums["mass"], sums["entries"]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rest = (total - mass) * np.log((total - mass) / total / np.maximum(1.0 - sums["prior"], 1e-9))
-        gain = sums["gain"] + np.where(total > mass, rest, 0.0)
-        retained = (entries > 0) & (gain > self.shape.nats * entries)
+        retained = _retained(total, sums, self.shape.nats)
         own = self.context[self.which]
         seen = counts[self.which]
         direct = np.where(seen > 1, seen - self.shape.discount, 0.0) / total[own]
@@ -402,7 +421,7 @@ def _with_replies(depth: int, total: int, distinct: int, parts: int, shape: Shap
         for d in range(depth):
             own = replies.filter(pc.equal(replies.column("depth"), d))
             if d:
-                walk.down(*walk.deeper(d).read(own, shape.least))
+                walk.down(*walk.deeper(d).read(own, shape.least if d < shape.depth else np.inf))
             else:
                 walk.begin(own, total, distinct)
         return finish(walk)
@@ -429,8 +448,7 @@ def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
     replies = None
     total = distinct = 0
     for d in range(shape.depth + 1):
-        # Single words are numbered from two occurrences on, as they follow others; pairs where they may be contexts.
-        answers = asked.groupBy("part").applyInArrow(_answered(parts, shape.least if d else 2, d == 0), REPLY).withColumn("depth", F.lit(d))
+        answers = asked.groupBy("part").applyInArrow(_answered(d, parts, max(total, 1) / parts, shape), REPLY).withColumn("depth", F.lit(d))
         answers = work.keep(f"replies{d}", answers)
         if d == 0:
             sums = answers.agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).first()
