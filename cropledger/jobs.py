@@ -24,6 +24,7 @@ from cropledger.plans.inputs import AUXILIARY, stored_inputs
 from cropledger.session import WorkFolder
 from cropledger.sources import catalog as cat
 from cropledger.sources.dims import Dimensions, default_dimensions, read_auxiliary
+from cropledger.sources.literal import literal_table
 from cropledger.sources.store import Store, load_exports
 
 
@@ -45,11 +46,12 @@ FIGURES = {
 def listing(
     spark: SparkSession, root: str, project: str, versions: Sequence[str] | None = None, scens: Sequence[str] | None = None
 ) -> DataFrame:
-    """What a tree holds: level (version, scen, query) and name, sorted."""
-    found = cat.list_exports(spark, root, project)
-    levels = {"version": cat.versions(found), "scen": cat.scenarios(found, versions), "query": cat.queries(found, versions, scens)}
-    rows = [df.select(F.lit(k).alias("place"), F.lit(level).alias("level"), F.col(level).alias("name")) for k, (level, df) in enumerate(levels.items())]
-    return report.union_all(rows).orderBy("place", "name").drop("place")
+    """What a tree holds: level (version, scen, query) and name, sorted. Files are listed below the chosen folders only."""
+    names = cat.level_names(spark, root, project, versions)
+    folders = literal_table(spark, {"level": "string", "name": "string"}, [(level, n) for level in names for n in names[level]])
+    found = cat.list_exports(spark, root, project, in_versions=versions, in_scens=scens)
+    every = folders.unionByName(found.select(F.lit("query").alias("level"), F.col("query").alias("name")).distinct())
+    return every.orderBy(F.array_position(F.array(*map(F.lit, cat.LEVELS)), F.col("level")), "name")
 
 
 def load(

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 _HIT = "__hit"
 _COPIES = "__copies"
-# A list of members that travels as one value may have so many entries.
-MOST_MEMBERS = 100_000
+# A list of members that travels as one value may have so many entries; longer ones are met in blocks of about so many.
+MOST_MEMBERS, BLOCK_MEMBERS = 100_000, 10_000
 
 Keys = str | Sequence[str] | Mapping[str, str]
 
@@ -39,6 +39,26 @@ def bounded(members: Column, what: str) -> Column:
     )
 
 
+def too_many(df: DataFrame, *members: Column) -> bool:
+    """Whether one of the lists of distinct members is too long for a value, by one job over the table."""
+    found = df.agg(*[F.count_distinct(m) for m in members]).first() if members else ()
+    return any(n > MOST_MEMBERS for n in found)
+
+
+def over_blocks(df: DataFrame, column: str, members: DataFrame, member: Column) -> DataFrame:
+    """Every row once per distinct member, however many there are.
+
+    Members lie in blocks of about ``BLOCK_MEMBERS`` by their hash. A row goes to each block by its number, an equi-join, and
+    meets the members of a block as one list.
+    """
+    every = members.select(member.alias(column)).where(F.col(column).isNotNull()).distinct()
+    n = F.greatest(F.lit(1), F.ceil(every.agg(F.count(F.lit(1))).scalar() / BLOCK_MEMBERS)).cast("int")
+    blocks = every.select(F.pmod(F.xxhash64(column), n).cast("int").alias("__block"), column)
+    blocks = blocks.groupBy("__block").agg(F.collect_list(column).alias("__members"))
+    spread = df.withColumn("__block", F.explode(F.sequence(F.lit(0), n - 1)))
+    return spread.join(blocks, "__block").withColumn(column, F.explode("__members")).drop("__block", "__members")
+
+
 def guard(df: DataFrame, broken: Column, message: Column) -> DataFrame:
     """Pass all rows through, but fail the job on one for which ``broken`` holds."""
     return df.where(F.when(broken, F.raise_error(message)).otherwise(F.lit(True)))
@@ -149,7 +169,12 @@ def replicate_over(df: DataFrame, column: str, members: Sequence) -> DataFrame:
     return df.withColumn(column, F.explode(F.array(*[F.lit(m) for m in members])))
 
 
-def replicate_over_observed(df: DataFrame, column: str, source: DataFrame, member: str) -> DataFrame:
-    """Every row once per distinct member seen in another table, carried as one value, not as a join."""
+def replicate_over_observed(df: DataFrame, column: str, source: DataFrame, member: str, *, many: bool | None = None) -> DataFrame:
+    """Every row once per distinct member seen in another table: carried as one value, or with ``many`` in blocks.
+
+    Unless told, a job over the members decides. Told that there are few, a list past the bound fails.
+    """
+    if too_many(source, F.col(member)) if many is None else many:
+        return over_blocks(df, column, source, F.col(member))
     members = source.agg(F.array_sort(F.collect_set(member))).scalar()
     return df.withColumn(column, bounded(members, member)).withColumn(column, F.explode(column))

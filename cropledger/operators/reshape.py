@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cropledger.functions.aggregates import only_value
 from cropledger.functions.text import code_parts
-from cropledger.operators.lookup import bounded, guard, unique_rows
+from cropledger.operators.lookup import bounded, guard, over_blocks, too_many, unique_rows
 
 # An observed list of members becomes columns; more than this is not a dimension.
 MOST_COLUMNS = 2_000
@@ -59,15 +59,22 @@ def split_code(df: DataFrame, column: str, into: Sequence[str], *, keep: bool =
 
 
 def densify(
-    df: DataFrame, dim: str, value: str, *, members: Sequence[str] | None = None, fill: float = 0.0
+    df: DataFrame, dim: str, value: str, *, members: Sequence[str] | None = None, fill: float = 0.0, many: bool | None = None
 ) -> DataFrame:
     """Every combination of the other columns with every member of ``dim``; absent or missing cells get ``fill``.
 
     Members are the listed ones, or all that occur. A repeated cell fails. After the cells are proven
-    unique, a combination collects at most one entry per member.
+    unique, a combination collects at most one entry per member. ``many`` finds absent cells by blocks of members and a
+    grouping instead; unless told, a job over the members decides. Told that there are few, a list past the bound fails.
     """
     keys = [c for c in df.columns if c not in (dim, value)]
     cells = unique_rows(df, [*keys, dim], [value], "table to densify")
+    if members is None and (too_many(df, F.col(dim)) if many is None else many):
+        own = cells.where(F.col(dim).isNotNull()).select(*keys, dim, F.coalesce(value, F.lit(fill)).alias(value))
+        grid = over_blocks(cells.select(*keys).distinct(), dim, cells, F.col(dim)).withColumn(value, F.lit(fill))
+        # Null-safe by grouping: a cell and its place in the grid come together, and the cell counts.
+        both = own.withColumn("__own", F.lit(1)).unionByName(grid.withColumn("__own", F.lit(0)))
+        return both.groupBy(*keys, dim).agg(F.max_by(value, "__own").alias(value)).select(*df.columns)
     if members is None:
         # Counting values keeps the cells whole here, so that their shuffle is shared and not computed twice.
         seen = F.struct(F.array_sort(F.collect_set(dim)).alias("members"), F.count(value).alias("known"))
@@ -90,29 +97,40 @@ def densify(
 
 
 def complete_grid(
-    df: DataFrame, grid: DataFrame, cell: Sequence[str], value: str, facet: str | None = None, fill: float = 0.0
-) -> DataFrame:
+    df: DataFrame, grid: DataFrame, cell: Sequence[str], value: str, facet: str | None = None, fill: float = 0.0,
+    *, many: bool | None = None,
+) -> DataFrame:
     """Rows of ``df`` on the cells of ``grid``, plus a ``fill`` row for every absent cell (per facet member)
     and every combination of the remaining columns. Missing values become ``fill``.
 
-    The member lists (facet, remaining attributes) are dimension-sized and travel as one value each; one longer than
-    ``lookup.MOST_MEMBERS`` fails.
+    The member lists (facet, remaining attributes) travel as one value each; with ``many`` they are met in blocks. Unless
+    told, a job over the members decides. Told that there are few, a list past the bound fails.
     """
     wanted = [*cell] if facet is None else [*cell, facet]
     others = [c for c in df.columns if c not in (*wanted, value)]
-    sets = [F.collect_set(facet).alias("members")] if facet else []
-    sets += [F.collect_set(F.struct(*others)).alias("combos")] if others else []
+    own = F.struct(*others)
+    lists = ([F.col(facet)] if facet else []) + ([own] if others else [])
+    many = bool(lists) and (too_many(df, *lists) if many is None else many)
     places = grid.select(*cell).distinct()
-    if sets:
-        places = places.withColumn("__seen", df.agg(F.struct(*sets)).scalar())
-    if facet is not None:
-        places = places.select("*", F.explode(bounded(F.col("__seen.members"), facet)).alias(facet))
-    # One join finds the rows on the grid and the places without any; the latter fan out to all combinations.
-    joined = places.join(df.withColumn("__hit", F.lit(True)), wanted, "left")
-    if others:
-        own = F.array(F.struct(*others))
-        combos = bounded(F.col("__seen.combos"), "attribute combinations")
-        joined = joined.withColumn("__o", F.explode(F.when(F.col("__hit"), own).otherwise(combos)))
+    marked = df.withColumn("__hit", F.lit(True))
+    if many:
+        places = over_blocks(places, facet, df, F.col(facet)) if facet else places
+        joined = places.join(marked, wanted, "left")
+        if others:
+            absent = over_blocks(joined.where(F.col("__hit").isNull()).select(*wanted, value), "__o", df, own)
+            joined = joined.where(F.col("__hit")).select(*wanted, value, own.alias("__o")).unionByName(absent)
+    else:
+        sets = [F.collect_set(facet).alias("members")] if facet else []
+        sets += [F.collect_set(own).alias("combos")] if others else []
+        if sets:
+            places = places.withColumn("__seen", df.agg(F.struct(*sets)).scalar())
+        if facet is not None:
+            places = places.select("*", F.explode(bounded(F.col("__seen.members"), facet)).alias(facet))
+        # One join finds the rows on the grid and the places without any; the latter fan out to all combinations.
+        joined = places.join(marked, wanted, "left")
+        if others:
+            combos = bounded(F.col("__seen.combos"), "attribute combinations")
+            joined = joined.withColumn("__o", F.explode(F.when(F.col("__hit"), F.array(own)).otherwise(combos)))
     filled = F.coalesce(F.col(value), F.lit(fill))
     shown = {c: F.col(f"__o.{c}") for c in others} | {value: filled}
     return joined.select(*[shown[c].alias(c) if c in shown else F.col(c) for c in df.columns])

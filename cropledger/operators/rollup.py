@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cropledger.functions.aggregates import strict_sum, weighted_mean
+from cropledger.functions.aggregates import plain_sum, strict_sum, weighted_mean
 from cropledger.operators.lookup import guard
 
 # Report codes summed into larger regions; the world takes every row.
@@ -28,20 +28,22 @@ _OWN = "__own"
 _TO = "__to"
 
 
-def grouped_sum(df: DataFrame, by: Sequence[str | Column], value: str = "value", *, strict: bool = True) -> DataFrame:
-    """Sum over the given columns; an entry may rename, compute or add a constant."""
-    total = strict_sum(value) if strict else F.sum(value)
+def grouped_sum(
+    df: DataFrame, by: Sequence[str | Column], value: str = "value", *, strict: bool = True, exact: bool = False
+) -> DataFrame:
+    """Sum over the given columns; an entry may rename, compute or add a constant. ``exact`` sums have equal bits in any order of rows."""
+    total = strict_sum(value, exact=exact) if strict else plain_sum(value, exact)
     return df.groupBy(*by).agg(total.alias(value))
 
 
-def series_sum(df: DataFrame, *dims: str | Column, value: str = "value") -> DataFrame:
+def series_sum(df: DataFrame, *dims: str | Column, value: str = "value", exact: bool = False) -> DataFrame:
     """``grouped_sum`` over scenario, the given dimensions and year."""
-    return grouped_sum(df, ["scenario", *dims, "year"], value)
+    return grouped_sum(df, ["scenario", *dims, "year"], value, exact=exact)
 
 
-def sum_all_but(df: DataFrame, *left_out: str, value: str = "Value") -> DataFrame:
+def sum_all_but(df: DataFrame, *left_out: str, value: str = "Value", exact: bool = False) -> DataFrame:
     """Sum over every column except the value and the ones left out."""
-    return grouped_sum(df, [c for c in df.columns if c != value and c not in left_out], value)
+    return grouped_sum(df, [c for c in df.columns if c != value and c not in left_out], value, exact=exact)
 
 
 Total = tuple[str | None, Mapping[str, str]]
@@ -96,15 +98,19 @@ def append_totals(
     df: DataFrame,
     totals: Sequence[Total],
     value: str | Sequence[str] = "Value",
+    *,
+    exact: bool = False,
 ) -> DataFrame:
     """Append strict sums; the table must have one row per key."""
     values = [value] if isinstance(value, str) else list(value)
-    return fan_out_totals(df, totals, {v: strict_sum(v) for v in values})
+    return fan_out_totals(df, totals, {v: strict_sum(v, exact=exact) for v in values})
 
 
-def append_total(df: DataFrame, dim: str, label: str, value: str = "Value", where: str | None = None) -> DataFrame:
+def append_total(
+    df: DataFrame, dim: str, label: str, value: str = "Value", where: str | None = None, *, exact: bool = False
+) -> DataFrame:
     """Append one total (or subset total) member of a dimension."""
-    return append_totals(df, [(where, {dim: label})], value)
+    return append_totals(df, [(where, {dim: label})], value, exact=exact)
 
 
 def _region_totals(region: str, world: str, groups: Mapping[str, Sequence[str]]):
@@ -122,6 +128,7 @@ def region_rollup(
     world: str = WORLD,
     groups: Mapping[str, Sequence[str]] = SUPER_REGIONS,
     repeated_rows: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Append the world and the larger regions; input rows pass through unchanged, the weight drops out.
 
@@ -131,7 +138,7 @@ def region_rollup(
     codes = [world, *groups]
     bad = F.concat(F.lit("already rolled up: "), F.col(region))
     df = guard(df, F.col(region).isin(codes), bad)
-    mean = strict_sum(value) if weight is None else weighted_mean(value, weight)
+    mean = strict_sum(value, exact=exact) if weight is None else weighted_mean(value, weight, exact=exact)
     totals = _region_totals(region, world, groups)
     if not repeated_rows:
         measures = {value: mean} if weight is None else {value: mean, weight: F.sum(weight)}

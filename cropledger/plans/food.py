@@ -18,6 +18,11 @@ from cropledger.sources import fixed
 ANIMAL = ["OAP", "RUM", "NRM", "DRY"]
 
 
+def technologies(m: ModelInputs) -> DataFrame:
+    """Technologies that the food demand of the report regions has: what the waste shares must know."""
+    return m.report_level("Fooddemand").select("technology").distinct()
+
+
 def food_demand(m: ModelInputs) -> DataFrame:
     """Calories by native region and commodity, from the scenario's own demand table."""
     own = m.in_years("FooddemandExo").where(F.col("scenario").isin(fixed.DIET_SCENARIOS))

@@ -12,6 +12,7 @@ from cropledger.operators.lookup import guard
 from cropledger.operators.reshape import union_all
 from cropledger.plans import balance, emissions, food, labour, land, resources, socio, yields
 from cropledger.plans.inputs import REPORT_COLUMNS, ModelInputs
+from cropledger.session import folder_children, join_files, remove_folder
 
 EXPORT_COLUMNS = ["Model", "Scenario", "Region", "Item", "Variable", "Year", "Unit", "Value"]
 KEY = ["Scenario", "Region", "Item", "Variable", "Year", "Unit"]
@@ -119,7 +120,44 @@ def table_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n, df in tables.items()])
 
 
+def probes(rows: DataFrame) -> DataFrame:
+    """Every check of a whole report, whose rows bear the ``name`` of their table, in one scan and one aggregation.
+
+    ``probe`` tells what a row is about: a repeated ``key``, the ``coverage`` of a scenario and variable, a ``table``, or the
+    ``report``. Each has its rows, years, negative values (to six digits) and missing entries, in all and by column.
+    """
+    by = ["name", *KEY]
+    sets = [KEY, ["Scenario", "Variable"], ["name"], []]
+    missing = [F.count_if(_missing(c, rows)) for c in REPORT_COLUMNS]
+    probe = (
+        F.when(F.grouping("Region") == 0, "key").when(F.grouping("Scenario") == 0, "coverage")
+        .when(F.grouping("name") == 0, "table").otherwise("report")
+    )
+    found = rows.groupingSets([[F.col(c) for c in s] for s in sets], *by).agg(
+        probe.alias("probe"), F.count(F.lit(1)).alias("n"), F.min(F.col("Year")).alias("first_year"), F.max(F.col("Year")).alias("last_year"),
+        F.count_if(F.round("Value", 6) < 0).alias("negative"), reduce(lambda a, b: a + b, missing).alias("missing"),
+        *[m.alias(f"missing_{c}") for c, m in zip(REPORT_COLUMNS, missing)],
+    )
+    return found.where((F.col("probe") != "key") | (F.col("n") > 1))
+
+
 def write_report(report: DataFrame, path: str, *, single_file: bool = False) -> None:
-    """CSV with a header, columns in export order; part files unless one file is asked for."""
+    """CSV with a header, columns in export order; part files unless one sorted file is asked for.
+
+    For one file the rows are sorted by range over many tasks, written as parts without header, and the parts joined in order
+    behind the header: by the store itself where it can join files, else by copying bytes. Equal rows give equal bytes.
+    """
     rows = report.select(*EXPORT_COLUMNS)
-    (rows.coalesce(1) if single_file else rows).write.mode("overwrite").option("header", "true").csv(path)
+    if not single_file:
+        rows.write.mode("overwrite").option("header", "true").csv(path)
+        return
+    spark = report.sparkSession
+    parts = f"{path.rstrip('/')}.parts"
+    order = ["Model", *KEY, "Value"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").csv(parts)
+    try:
+        names = [n for n in folder_children(spark, parts) if n.startswith("part-")]
+        remove_folder(spark, path)
+        join_files(spark, ",".join(EXPORT_COLUMNS) + "\n", [f"{parts}/{n}" for n in names], f"{path}/part-00000.csv")
+    finally:
+        remove_folder(spark, parts)

@@ -87,6 +87,29 @@ def folder_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
 
 
+def join_files(spark: SparkSession, head: str, paths: list[str], target: str) -> None:
+    """One file of a head line and files in order: joined by the store if it can, else copied byte by byte."""
+    store, to = _located(spark, target)
+    out = store.create(to, True)
+    try:
+        out.write(bytearray(head.encode()))
+        if not paths or store.getScheme() != "hdfs":
+            conf = spark._jsc.hadoopConfiguration()
+            for path in paths:
+                part = store.open(_located(spark, path)[1])
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                finally:
+                    part.close()
+            return
+    finally:
+        out.close()
+    sources = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(paths))
+    for k, path in enumerate(paths):
+        sources[k] = _located(spark, path)[1]
+    store.concat(to, sources)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     store, target = _located(spark, path)
     return store.exists(target)

@@ -93,6 +93,12 @@ def list_exports(
     )
 
 
+def level_names(spark: SparkSession, root: str, project: str, in_versions: Sequence[str] | None = None) -> dict[str, set[str]]:
+    """The versions of a project, and the scenarios of the chosen ones, from two levels of folders."""
+    top = literal_path(f"{root.rstrip('/')}/{project}")
+    return {"version": folder_names(spark, f"{top}/*"), "scen": folder_names(spark, f"{top}/{_either(in_versions)}/*")}
+
+
 def find_exports(
     spark: SparkSession,
     root: str,
@@ -106,16 +112,15 @@ def find_exports(
 
     Fails like ``select_exports`` on an unknown name or an empty selection.
     """
-    top = literal_path(f"{root.rstrip('/')}/{project}")
-    known = {"version": (in_versions, f"{top}/*"), "scen": (in_scens, f"{top}/{_either(in_versions)}/*")}
-    for level, (wanted, pattern) in known.items():
-        unknown = sorted(set(wanted) - folder_names(spark, pattern)) if wanted else []
+    known = level_names(spark, root, project, in_versions) if in_versions or in_scens else {}
+    for level, wanted in (("version", in_versions), ("scen", in_scens)):
+        unknown = sorted(set(wanted) - known[level]) if wanted else []
         if unknown:
             raise NotAvailable(f"{level} not available: {unknown}")
     listed = list_exports(spark, root, project, in_versions=in_versions, in_scens=in_scens, in_queries=in_queries)
     if in_queries:
+        # A query that is in none of the chosen scenarios is unknown, as in select_exports.
         unknown = sorted(set(in_queries) - {r[0] for r in listed.select("query").distinct().collect()})
-        # A query that is there, but in none of the chosen scenarios, is as unknown as in select_exports.
         if unknown:
             raise NotAvailable(f"query not available: {unknown}")
     if listed.isEmpty():

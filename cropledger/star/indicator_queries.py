@@ -161,7 +161,9 @@ _WRITTEN: dict[tuple, DataFrame] = {}
 
 def _written(spark, sf):
     """All report tables as ``name`` and the report columns, assembled once and written."""
-    key = (spark.sparkContext.applicationId, sf, file_listing(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    tables = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
+    listed = tuple(file_listing(spark, f"{sf.rstrip('/')}/{t}.parquet") for t in tables)
+    key = (spark.sparkContext.applicationId, sf, listed)
     if key not in _WRITTEN:
         tables = report.collect_tables(_inputs(spark, sf, keep_stages=True))
         labelled = [df.withColumn("name", F.lit(name)) for name, df in tables.items()]
@@ -226,6 +228,34 @@ def report_variables(spark, sf):
     return report.distinct_variables(_whole(spark, sf))
 
 
+@query("report_technologies", "SELECT DISTINCT technology FROM t_food")
+def report_technologies(spark, sf):
+    """The technologies present in food demand."""
+    return food.technologies(_inputs(spark, sf))
+
+
+_NAMED = " UNION ALL ".join(f"SELECT {text(name)} AS name, {REPORT}, Value FROM {RESULT_OF[name]}" for name in report.TABLES)
+_MISSING = [f"count(*) FILTER ({c} IS NULL)" for c in report.REPORT_COLUMNS]
+
+
+@query("report_probes", "SELECT CASE WHEN GROUPING(Region) = 0 THEN 'key' WHEN GROUPING(Scenario) = 0 THEN 'coverage' WHEN GROUPING(name) = 0 THEN 'table' ELSE 'report' END AS probe, "
+       f"name, {', '.join(report.KEY)}, count(*) AS n, min(y) AS first_year, max(y) AS last_year, count(*) FILTER (round(Value, 6) < 0) AS negative, {' + '.join(_MISSING)} AS missing, "
+       + ", ".join(f'{m} AS "missing_{c}"' for c, m in zip(report.REPORT_COLUMNS, _MISSING))
+       + f" FROM (SELECT *, Year AS y FROM ({_NAMED})) GROUP BY GROUPING SETS (({', '.join(report.KEY)}), (Scenario, Variable), (name), ()) HAVING GROUPING(Region) = 1 OR count(*) > 1")
+def report_probes(spark, sf):
+    """All checks of the whole report in one scan of it."""
+    return report.probes(_written(spark, sf))
+
+
+@query("report_export_sorted", f"SELECT DISTINCT 'MODEL' AS \"Model\", {REPORT}, round(Value, 6) AS \"Value\" FROM ({_ALL})")
+def report_export_sorted(spark, sf):
+    """All tables as one sorted file, written by many tasks and read back."""
+    path = f"{fresh_folder(spark)}/report.csv"
+    report.write_report(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"), path, single_file=True)
+    schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
+    return rounded(read_auxiliary(spark, path, schema))
+
+
 @query("report_export_csv", f"SELECT DISTINCT 'MODEL' AS \"Model\", {REPORT}, round(Value, 6) AS \"Value\" FROM ({_ALL})")
 def report_export_csv(spark, sf):
     """All tables exported and read back."""

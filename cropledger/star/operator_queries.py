@@ -181,7 +181,7 @@ def renamed_key_lookup(spark, sf):
        "CROSS JOIN (SELECT DISTINCT o_orderpriority AS scenario FROM orders) s")
 def replicate_scenarios(spark, sf):
     base = summed(spark, sf, value=F.col("value")).where(F.col("scenario") == "1-URGENT").drop("scenario")
-    return lookup.replicate_over(base, "scenario", ALL_SCENARIOS)
+    return lookup.replicate_over_observed(base, "scenario", read(spark, sf, "orders"), "o_orderpriority", many=False)
 
 
 @query("key_grid", "SELECT scenario, region0 FROM (SELECT DISTINCT o_orderpriority AS scenario FROM orders) CROSS JOIN (SELECT n_name AS region0 FROM nation)")
@@ -199,6 +199,35 @@ def grouped_sum_expr(spark, sf):
     return rollup.series_sum(cells, F.lower("region0").alias("place"), F.lit("Import").alias("element"))
 
 
+# Doubles that no binary fraction meets; fsum is the compensated sum.
+_UNEVEN = "u AS (SELECT scenario, region0, region, year, returnflag, value * (linenumber + 0.1::DOUBLE) / 7000 AS value, weight / 3 AS weight FROM o_obs)"
+
+
+def _uneven(spark, sf):
+    facts = named(line_facts(spark, sf), spark, sf)
+    value = F.col("value") * (F.col("linenumber") + F.lit(0.1)) / F.lit(7000)
+    return facts.withColumns({"value": value, "weight": F.col("weight") / F.lit(3)})
+
+
+@query("exact_grouped_sum", f"WITH {_UNEVEN} SELECT scenario, region, year, round(fsum(value), 6) AS value FROM u GROUP BY ALL")
+def exact_grouped_sum(spark, sf):
+    return rollup.series_sum(_uneven(spark, sf), "region", exact=True).withColumn("value", F.round("value", 6))
+
+
+@query("exact_weighted_mean", f"WITH {_UNEVEN} SELECT region0, returnflag, round(fsum(value * weight) / fsum(weight), 6) AS mean, round(fsum(value) / fsum(weight), 6) AS ratio FROM u GROUP BY ALL")
+def exact_weighted_mean(spark, sf):
+    means = [weighted_mean("value", "weight", exact=True).alias("mean"), ratio_of_sums("value", "weight", exact=True).alias("ratio")]
+    return _uneven(spark, sf).groupBy("region0", "returnflag").agg(*means).withColumns({c: F.round(c, 6) for c in ("mean", "ratio")})
+
+
+@query("exact_totals", f"WITH {_UNEVEN}, c AS (SELECT region, year, fsum(value) AS value FROM u GROUP BY ALL) SELECT region, year, round(value, 6) AS value FROM c "
+       "UNION ALL SELECT 'ALL', year, round(fsum(value), 6) FROM c GROUP BY year UNION ALL SELECT 'OLD', year, round(fsum(value), 6) FROM c WHERE region IN ('ASIA', 'EUROPE') GROUP BY year")
+def exact_totals(spark, sf):
+    cells = rollup.grouped_sum(_uneven(spark, sf), ["region", "year"], exact=True)
+    totals = [(None, {"region": "ALL"}), ("region IN ('ASIA', 'EUROPE')", {"region": "OLD"})]
+    return rollup.append_totals(cells, totals, "value", exact=True).withColumn("value", F.round("value", 6))
+
+
 @query("sum_all_but", "SELECT scenario, linestatus, year, sum(value) AS \"Value\" FROM o_obs GROUP BY ALL")
 def sum_all_but(spark, sf):
     cells = summed(spark, sf, "linestatus", by_region="region0", Value=F.col("value"))
@@ -431,7 +460,40 @@ def pivot_balance_identity(spark, sf):
        "LEFT JOIN c ON c.scenario = k.scenario AND c.region = k.region AND c.year = k.year AND c.item = i.item")
 def densify_items_zero(spark, sf):
     cells = summed(spark, sf, F.col("returnflag").alias("item"), value=F.col("value"))
-    return reshape.densify(cells.where(~((F.col("item") == "N") & (F.col("year") != 1995))), "item", "value")
+    return reshape.densify(cells.where(~((F.col("item") == "N") & (F.col("year") != 1995))), "item", "value", many=False)
+
+
+_PART_SUMS = "c AS (SELECT l_returnflag AS returnflag, l_partkey AS part, sum(l_quantity) AS value FROM lineitem WHERE l_partkey % 7 <> 0 OR l_returnflag = 'R' GROUP BY ALL)"
+
+
+def _part_sums(spark, sf):
+    lines = read(spark, sf, "lineitem").where((F.col("l_partkey") % 7 != 0) | (F.col("l_returnflag") == "R"))
+    return lines.groupBy(F.col("l_returnflag").alias("returnflag"), F.col("l_partkey").alias("part")).agg(F.sum("l_quantity").alias("value"))
+
+
+@query("densify_parts_zero", f"WITH {_PART_SUMS} SELECT k.returnflag, p.part, coalesce(c.value, 0) AS value FROM (SELECT DISTINCT returnflag FROM c) k "
+       "CROSS JOIN (SELECT DISTINCT part FROM c) p LEFT JOIN c ON c.returnflag = k.returnflag AND c.part = p.part")
+def densify_parts_zero(spark, sf):
+    """Members that grow with the data, met in blocks."""
+    return reshape.densify(_part_sums(spark, sf), "part", "value", many=True)
+
+
+@query("grid_complete_parts", f"WITH {_PART_SUMS}, g AS (SELECT CAST(n_nationkey % 3 AS INTEGER) AS lot, CAST(n_nationkey AS BIGINT) AS nation FROM nation), "
+       "d AS (SELECT CAST(part % 3 AS INTEGER) AS lot, part % 25 AS nation, part, returnflag, value FROM c WHERE part % 2 = 0) "
+       "SELECT lot, nation, part, returnflag, value FROM d JOIN g USING (lot, nation) UNION ALL SELECT g.lot, g.nation, o.part, o.returnflag, 0 FROM g CROSS JOIN (SELECT DISTINCT part, returnflag FROM d) o "
+       "WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.lot = g.lot AND d.nation = g.nation)")
+def grid_complete_parts(spark, sf):
+    """Attribute combinations that grow with the data, met in blocks by the places without a row."""
+    grid = read(spark, sf, "nation").select((F.col("n_nationkey") % 3).cast("int").alias("lot"), F.col("n_nationkey").cast("long").alias("nation"))
+    sums = _part_sums(spark, sf).where(F.col("part") % 2 == 0)
+    data = sums.select((F.col("part") % 3).cast("int").alias("lot"), (F.col("part") % 25).alias("nation"), "part", "returnflag", "value")
+    return reshape.complete_grid(data, grid, ["lot", "nation"], "value", many=True)
+
+
+@query("replicate_over_parts", "SELECT r_name AS region, l_partkey AS part FROM region CROSS JOIN (SELECT DISTINCT l_partkey FROM lineitem)")
+def replicate_over_parts(spark, sf):
+    keys = read(spark, sf, "region").select(F.col("r_name").alias("region"))
+    return lookup.replicate_over_observed(keys, "part", read(spark, sf, "lineitem"), "l_partkey", many=True)
 
 
 @query("densify_scenarios_zero", "WITH c AS (SELECT scenario, region, year, sum(value) AS value FROM o_obs WHERE scenario IN ('1-URGENT', '5-LOW') GROUP BY ALL) "
@@ -467,7 +529,7 @@ def _basins(spark, sf):
 @query("grid_complete_zero", f"WITH {_BASIN} SELECT region, basin, facet, year, value FROM full_grid")
 def grid_complete_zero(spark, sf):
     data, grid = _basins(spark, sf)
-    return reshape.complete_grid(data, grid, ["region", "basin"], "value", "facet")
+    return reshape.complete_grid(data, grid, ["region", "basin"], "value", "facet", many=False)
 
 
 @query("basin_map_classes", f"WITH {_BASIN}, e AS (SELECT floor(min(value) * 10) / 10 AS lo, ceil(max(value) * 10) / 10 AS hi FROM full_grid), "

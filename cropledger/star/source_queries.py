@@ -145,8 +145,9 @@ def _block(spark: SparkSession, rows: DataFrame, number: int, header: str, line:
 @query(
     "csv_tree_mixed_headers",
     "WITH c AS (SELECT scenario, region, returnflag, year, sum(weight) AS value FROM o_obs GROUP BY ALL), "
-    "k AS (SELECT scenario, region, returnflag, year < 1999 AS early FROM c GROUP BY ALL HAVING count(*) = CASE WHEN early THEN 4 ELSE 3 END) "
-    "SELECT scenario, region, returnflag, year, value, 'Mt' AS \"Units\", replace(scenario, ' ', '_') AS ss FROM c "
+    "k AS (SELECT scenario, region, returnflag, early FROM (SELECT *, year < 1999 AS early FROM c) GROUP BY scenario, region, returnflag, early "
+    "HAVING count(*) = CASE WHEN early THEN 4 ELSE 3 END) "
+    "SELECT c.scenario, c.region, c.returnflag, year, value, 'Mt' AS \"Units\", replace(c.scenario, ' ', '_') AS ss FROM c "
     "JOIN k ON k.scenario = c.scenario AND k.region = c.region AND k.returnflag = c.returnflag AND k.early = (c.year < 1999)",
 )
 def csv_tree_mixed_headers(spark, sf):
@@ -181,8 +182,9 @@ def load_rejects(spark, sf):
     root = fresh_folder(spark)
     wide = write_and_read_back(_wide(spark, sf, "weight"), f"{root}/wide")
     header = f"scenario,region,returnflag,{','.join(YEARS)},Units"
-    cells = [F.when(F.col("returnflag") == "N", F.lit("none")).otherwise(F.col(y)) if y == "1997" else F.col(y) for y in YEARS]
-    whole = _line(_dated(), F.col("region"), F.col("returnflag"), *cells, F.lit("Mt"))
+    # A row without 1997 is left out for its blank cell; others of one flag have a word there.
+    word = F.when((F.col("returnflag") == "N") & F.col("1997").isNotNull(), F.lit("none")).otherwise(F.col("1997").cast("string"))
+    whole = _line(_dated(), F.col("region"), F.col("returnflag"), *[word if y == "1997" else F.col(y) for y in YEARS], F.lit("Mt"))
     line = (
         F.when(F.col("region") == "ASIA", F.concat(whole, F.lit(",9")))
         .when(F.col("region") == "AFRICA", _line(_dated(), F.col("region"), F.col("returnflag")))
@@ -191,9 +193,7 @@ def load_rejects(spark, sf):
     for scenario in lb.SCENARIO_OF:
         folder = f"{root}/raw/{PROJECT}/{VERSION}/{_folder_name(scenario)}"
         rows = wide.where(F.col("scenario") == scenario)
-        # A row without 1997 is left out for its blank cell; "none" must not fill it.
-        masked = F.when(F.col("1997").isNull() & (F.col("returnflag") == "N"), F.replace(line, F.lit("none"), F.lit(""))).otherwise(line)
-        _write_lines(_block(spark, rows, 1, header, masked), f"{folder}/mass.csv")
+        _write_lines(_block(spark, rows, 1, header, line), f"{folder}/mass.csv")
         _write_lines(spark.createDataFrame([("1", "no table here")], "block string, line string"), f"{folder}/empty.csv")
     store = Store(spark, f"{root}/tables")
     load_exports(spark, f"{root}/raw", PROJECT, store)

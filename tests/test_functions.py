@@ -1,8 +1,12 @@
+import math
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from cropledger.functions import aggregates, classes, text, units
+from cropledger.functions.aggregates import exact_sum, ratio_of_sums, strict_sum, weighted_mean
 
 
 def test_strict_sum_is_null_with_one_missing_value(make):
@@ -102,3 +106,34 @@ def test_right_closed_labels_of_negative_breaks(make):
 def test_class_below(make):
     df = make("v double", [(1.0,), (1000.0,), (None,)])
     assert rows(df.select(classes.class_below(F.col("v"), 1000.0, "low", "high"))) == [(None,), ("high",), ("low",)]
+
+
+def test_exact_sums_have_equal_bits_in_any_order_and_partitions(spark):
+    rng = random.Random(4)
+    values = [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(-9, 15) for _ in range(4000)] + [1e15, -1e15, 0.1, 0.2, 2.0**70, -(2.0**70)]
+    rows_ = [(k % 3, v, rng.random()) for k, v in enumerate(values)]
+    exact = [exact_sum("v").alias("s"), weighted_mean("v", "w", exact=True).alias("m"), ratio_of_sums("v", "w", exact=True).alias("r")]
+    found = set()
+    for n in (1, 7, 200):
+        rng.shuffle(rows_)
+        df = spark.createDataFrame(rows_, "g int, v double, w double").repartition(n)
+        found.add(tuple(sorted((r.g, r.s.hex(), r.m.hex(), r.r.hex()) for r in df.groupBy("g").agg(*exact).collect())))
+    assert len(found) == 1
+    for g, total, _, _ in found.pop():
+        assert float.fromhex(total) == pytest.approx(math.fsum(v for k, v, _ in rows_ if k == g), rel=1e-14)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[0.1] * 10, [1e16, 1.0, -1e16], [-0.5, 2.0**-60], [-(2.0**40) - 0.25, 2.0**40], [3.0, None, 4.0], [0.0, -0.0], [2.0**79, 1.5, -(2.0**79)]],
+)
+def test_exact_sum_is_the_sum(make, values):
+    got = make("v double", [(v,) for v in values]).agg(exact_sum("v")).first()[0]
+    assert got == pytest.approx(math.fsum(v for v in values if v is not None), rel=1e-15, abs=2.0**-70)
+
+
+def test_exact_sum_of_what_has_no_grid(make):
+    df = make("g int, v double", [(1, math.inf), (1, 1.0), (2, math.nan), (3, 1e300), (3, 1e300), (4, None)])
+    got = {r.g: r.s for r in df.groupBy("g").agg(exact_sum("v").alias("s")).collect()}
+    assert got[1] == math.inf and math.isnan(got[2]) and got[3] == 2e300 and got[4] is None
+    assert make("v double", [(1.0,), (None,)]).agg(strict_sum("v", exact=True)).first()[0] is None

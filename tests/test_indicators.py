@@ -2,7 +2,9 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from cropledger.operators.reshape import union_all
 from cropledger.plans import balance, emissions, figures, food, labour, land, report, resources, socio, yields
 from cropledger.plans.inputs import ModelInputs
 from cropledger.sources.dims import default_dimensions
@@ -248,3 +250,38 @@ def test_report_of_small_inputs(m, tmp_path):
     report.write_report(whole, str(tmp_path / "out.csv"), single_file=True)
     files = list((tmp_path / "out.csv").glob("*.csv"))
     assert len(files) == 1 and files[0].read_text().splitlines()[0] == ",".join(report.EXPORT_COLUMNS)
+
+
+def test_one_file_is_sorted_and_equal_for_equal_rows(m, spark, tmp_path):
+    whole = report.assemble(report.collect_tables(m, ["gdp", "population", "area", "water"]), "MODEL")
+    texts = []
+    for n in (1, 13):
+        out = tmp_path / f"out{n}.csv"
+        report.write_report(whole.repartition(n, "Value"), str(out), single_file=True)
+        (file,) = out.glob("*.csv")
+        texts.append(file.read_text())
+        assert not list(tmp_path.glob("*.parts"))
+    assert texts[0] == texts[1]
+    head, *lines = texts[0].splitlines()
+    assert head == ",".join(report.EXPORT_COLUMNS) and len(lines) == whole.count()
+    back = rows(spark.read.option("header", "true").csv(str(tmp_path / "out1.csv")).selectExpr(*report.EXPORT_COLUMNS[:-1], "CAST(Value AS double)"))
+    assert back == rows(whole.withColumn("Year", F.col("Year").cast("string")))
+
+
+def test_probes_in_one_scan(m, spark, tmp_path):
+    tables = report.collect_tables(m, ["gdp", "area"])
+    whole = union_all([df.withColumn("name", F.lit(n)) for n, df in tables.items()])
+    whole.unionByName(whole.where("name = 'gdp'").limit(1)).unionByName(
+        whole.limit(1).withColumns({"Value": F.lit(-1.0), "Item": F.lit(None).cast("string"), "Variable": F.lit("NEW")})
+    ).write.parquet(str(tmp_path / "report"))
+    found = report.probes(spark.read.parquet(str(tmp_path / "report")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("RelationV2") == 1
+    by = {}
+    for r in found.collect():
+        by.setdefault(r.probe, []).append(r)
+    assert len(by["key"]) == 1 and by["key"][0].n == 2
+    assert {r["name"] for r in by["table"]} == {"gdp", "area"} and sum(r.n for r in by["table"]) == by["report"][0].n == whole.count() + 2
+    (new,) = [r for r in by["coverage"] if r.Variable == "NEW"]
+    assert (new.n, new.negative, new.missing, new.missing_Item, new.missing_Value) == (1, 1, 1, 1, 0)
+    assert by["report"][0].missing == 1 and by["report"][0].negative >= 1

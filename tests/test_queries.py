@@ -17,7 +17,8 @@ SF = Path(os.environ.get("CROPLEDGER_SF", "/root/testdata/sf0.001"))
 LONG = ("indicator_", "figure_", "report_", "balance_", "farm_", "food_", "quantities", "frozen", "harvested", "crop_", "gwp_", "emissions_", "csv_", "catalog_")
 PART = {
     "indicator_population", "indicator_area", "indicator_wage", "indicator_carbon_price", "figure_cumulative_water",
-    "balance_storage", "emissions_by_sector", "food_demand_switch", "catalog_listing",
+    "balance_storage", "emissions_by_sector", "food_demand_switch", "catalog_listing", "csv_tree_mixed_headers",
+    "csv_tree_special_paths", "csv_tree_second_load",
 }
 # Probes that find nothing in these tables.
 EMPTY = {"report_negative_prices"}

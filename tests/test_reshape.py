@@ -1,7 +1,7 @@
 import pytest
 from conftest import rows
 
-from cropledger.operators import reshape
+from cropledger.operators import lookup, reshape
 
 
 def test_pivot_wider(make):
@@ -56,3 +56,44 @@ def test_union_all_and_key_difference(make):
     a, b = make("k string, v int", [("a", 1), ("b", 1)]), make("k string, w int", [("a", 2)])
     assert rows(reshape.union_all([a, b]), "k", "v", "w") == [("a", None, 2), ("a", 1, None), ("b", 1, None)]
     assert rows(reshape.key_difference(a, b, ["k"])) == [("b",)]
+
+
+def test_members_in_blocks_give_the_same_rows(make, monkeypatch):
+    df = make(
+        "k string, item string, facet string, year int, v double",
+        [(k, f"i{n}", f"f{n % 3}", 2015 + n % 2, None if n == 4 else float(n)) for n in range(9) for k in ("a", None, "c") if n % 3 or k != "c"],
+    )
+    grid = make("k string, item string", [("a", "i1"), ("a", "i77"), ("c", "i1"), ("z", "i2")])
+    slim = df.select("k", "item", "v")
+
+    def every(many):
+        return [
+            rows(reshape.densify(slim, "item", "v", many=many)), rows(reshape.densify(df.drop("facet"), "item", "v", many=many)),
+            rows(reshape.complete_grid(df, grid, ["k", "item"], "v", "facet", many=many)),
+            rows(reshape.complete_grid(df.drop("facet"), grid, ["k", "item"], "v", many=many)),
+            rows(reshape.complete_grid(df.drop("year"), grid, ["k", "item"], "v", "facet", many=many)),
+            rows(reshape.complete_grid(slim, grid, ["k", "item"], "v", many=many)),
+            rows(lookup.replicate_over_observed(grid, "year", df, "year", many=many)),
+        ]
+
+    whole = every(False)
+    assert all(whole) and len(whole[0]) == 27 and every(None) == whole
+    for block in (1, 2, 100):
+        monkeypatch.setattr(lookup, "BLOCK_MEMBERS", block)
+        assert every(True) == whole
+    monkeypatch.setattr(lookup, "MOST_MEMBERS", 1)
+    assert every(None) == whole
+    with pytest.raises(Exception, match="more than 1 members"):
+        every(False)
+    with pytest.raises(Exception, match="repeated key"):
+        reshape.densify(slim.union(slim), "item", "v").collect()
+
+
+def test_a_dimension_of_many_members(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "MOST_MEMBERS", 1_000)
+    monkeypatch.setattr(lookup, "BLOCK_MEMBERS", 100)
+    cells = spark.range(5_000).selectExpr("id % 7 AS k", "concat('m', id) AS item", "CAST(id AS double) AS v")
+    dense = reshape.densify(cells, "item", "v")
+    assert dense.count() == 35_000 and dense.agg({"v": "sum"}).first()[0] == sum(range(5_000))
+    plan = dense._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
