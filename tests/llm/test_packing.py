@@ -1,8 +1,10 @@
 """Packing: ids equal to tokenizers, every id once, fills checked against all subsets."""
 
 import itertools
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +20,7 @@ PATH = public_tokenizers.path(packing.VOCABULARY)
 
 
 TOKENIZER = Tokenizer.from_file(str(PATH))
-TOKENIZER.encode_special_tokens = True
+LITERAL = "<|endoftext|>"
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,27 @@ def test_same_ids_as_tokenizers(text):
     assert packing.encoder(str(PATH))(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=8), st.sampled_from([LITERAL, LITERAL[:-1], LITERAL[1:], " ", "<|", "\n"])), max_size=12).map("".join))
+def test_same_ids_with_literals_of_added_tokens(text):
+    assert packing.encoder(str(PATH))(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_a_literal_is_one_id():
+    assert packing.encoder(str(PATH))("a <|endoftext|> x") == [64, 220, 50256, 2124]
+
+
+@pytest.mark.parametrize("change", [{"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"content": "<|endoftext|><|"}, {"content": "|>a"}])
+def test_same_ids_with_other_added_tokens(tmp_path, change):
+    spec = json.loads(Path(PATH).read_text())
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 50257, "content": "<extra>", **change})
+    path = tmp_path / "vocabulary.json"
+    path.write_text(json.dumps(spec))
+    plain, mine = Tokenizer.from_file(str(path)), packing.encoder(str(path))
+    for text in ("a <extra> b", "<extra>x", f"{LITERAL}<|{LITERAL}", f"a{LITERAL}a |>a <extra>", "nothing here"):
+        assert mine(text) == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_same_ids_on_hard_texts(reference):
     for text in ["a" * 50_000, " " * 20_000 + "x", "\n" * 9_000, "!" * 5_000, "<|endoftext|> x", "it's I'LL don't", "İ﻿‍\U0001f600"]:
         assert [*packing.encoder(str(PATH))(text), 0] == reference(text)
