@@ -57,7 +57,8 @@ BASE = [
 MORE = [
     Rule("pem", 1, r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"),
     Rule("github", 1, r"\bgh[opsru]_[A-Za-z0-9]{36,}", 0, 0, re.ASCII),
-    Rule("jwt", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, re.ASCII),
+    # From the start of a run only: each run is read once, however many starts it holds.
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, re.ASCII),
 ]
 RULES = [*BASE, *MORE]
 LEDGER = "blob binary, kind string, version int, spans array<struct<start:long,end:long>>"

@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from cropledger.llm import secrets
@@ -73,3 +75,18 @@ def test_ledger_grows_by_unseen_pairs_only(spark, documents):
 
 def test_empty_table(documents):
     assert secrets.scan(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+def test_hostile_megabytes_take_seconds(rule):
+    pieces = ["eyJ-", "eyJaaaaaaaa.", "token=", "token ", "password'", "AKIA", "gh", "ghp_", "-----BEGIN ", "-----BEGIN A A ", "0", "0123456789abcdeg", "a" * 31 + "g", " ", "_"]
+    for piece in pieces:
+        start = time.process_time()
+        rule.spans(piece * (1_000_000 // len(piece)))
+        assert time.process_time() - start < 5, piece
+
+
+def test_a_web_token_is_found_at_the_start_of_a_run(documents):
+    jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh-_1"
+    rows = [(0, f"x {jwt} y"), (1, f'"{jwt}"'), (2, f"x-{jwt}"), (3, f"{jwt}.{jwt}")]
+    assert {r.path: r.n_jwt for r in secrets.scan(documents(rows)).collect()} == {0: 1, 1: 1, 2: 0, 3: 2}
