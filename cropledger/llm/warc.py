@@ -108,11 +108,19 @@ def write(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
+    if path.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     if ":/" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its store, as Spark's own readers and writers take it: without a scheme it is of the default store."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 class Files(InputPartition):
     def __init__(self, names: tuple[str, ...]):
         self.names = names
@@ -181,6 +189,8 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> Sequence[Files]:
         store, root = _store(self.path)
         info = store.get_file_info(root)
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"no archive at {self.path}")
         if info.type == fs.FileType.Directory:
             found = store.get_file_info(fs.FileSelector(root, recursive=True))
         else:
@@ -267,10 +277,10 @@ class WarcSource(DataSource):
 
 
 def read(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Records below ``path``; filters on header columns reach the reader."""
+    """Records below ``path``; filters on header columns reach the reader. A path that is not there is an error."""
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").options(**options).load(path)
+    return spark.read.format("warc").options(**options).load(qualified(spark, path))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,3 +81,18 @@ def test_gzip_members_folded_headers_and_groups_of_files(spark, tmp_path):
     assert all(r.payload == b"xyz" and r.headers["x-long"] == "a b" for r in rows)
     assert len(warc.WarcReader(str(tmp_path), 1, True).partitions()) == 2
     assert warc.read(spark, str(tmp_path), payload="false").where("payload IS NULL").count() == 4
+
+
+def test_a_missing_archive_is_an_error_and_an_empty_folder_is_not(spark, tmp_path):
+    with pytest.raises(Exception, match="no archive at"):
+        warc.read(spark, str(tmp_path / "nothing")).count()
+    (tmp_path / "empty").mkdir()
+    assert warc.read(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_paths_are_those_of_the_default_store(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "a b")], "page_id long, url string, html string")
+    for path in (str(tmp_path / "odd %20 +name"), f"file://{tmp_path}/plain"):
+        warc.write(pages, path)
+        assert warc.inventory(spark, path).count() == 1
+    assert warc.qualified(spark, "/x/y").startswith("file:/")
