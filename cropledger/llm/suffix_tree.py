@@ -14,11 +14,11 @@ each depth a block asks for its distinct (context, word) pairs, with its own tra
 meet by context, are summed over all blocks, and each block gets the totals of its pairs back, and what the divergence test needs of
 each of its contexts. With all replies a block scores its documents. Words are 64-bit hashes at first; the first reply numbers those
 seen twice or more, each further one numbers its pairs, which are the contexts of the next depth, so that a request, packed by block
-and part, has about 7 bytes a distinct pair. The parts grow in number with the tokens. A context with more than its share of the
+and part, has about 4 bytes a distinct pair. The parts grow in number with the tokens. A context with more than its share of the
 tokens is cut into so many parts, by word, as it has shares; a block that has the context asks all of them and adds up.
 
 Defined results: a null text is empty, and has its end only. A null doc_id is never held out. Rows that repeat a doc_id are documents
-of their own. The probability so far enters the divergence test, and only that, in half precision of its logarithm. Without
+of their own. The probability so far enters the divergence test, and only that, in eighths of a bit. Without
 training documents every token has probability 1 / (V + 1) = 1. An empty table gives an empty table. Other columns are not looked at.
 """
 
@@ -52,7 +52,7 @@ class Shape:
 #: Weight of each word, and of the unknown one, in the empty context: fixed by the contract.
 PRIOR = 0.5
 #: Tokens of a block, and tokens for each part that counts meet in.
-BLOCK, PART = 1 << 20, 1 << 21
+BLOCK, PART = 1 << 20, 1 << 22
 
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 BLANK = np.array([tx.SPACE if b == 32 or 9 <= b <= 13 else tx.WORD for b in range(256)], np.uint8)
@@ -167,13 +167,18 @@ def _retained(total: np.ndarray, sums: dict[str, np.ndarray], nats: float) -> np
     return (sums["entries"] > 0) & (gain > nats * sums["entries"])
 
 
+def _eighths(p: np.ndarray) -> np.ndarray:
+    """Probabilities as eighths of a bit, down to 2^-31."""
+    return np.minimum(np.rint(-8.0 * np.log2(p)), 255.0)
+
+
 class Pairs:
     """The distinct (context, word) pairs of a block at one depth: what to ask, and in what order answers come."""
 
     def __init__(self, context: np.ndarray, contexts: np.ndarray, totals: np.ndarray, word: np.ndarray, count: np.ndarray,
                  prior: np.ndarray, parts: int, share: float):
         """``context`` points into ``contexts``; a context with ``totals`` above ``share`` is cut into pieces."""
-        pieces = _pieces(totals, share)
+        pieces = self.pieces = _pieces(totals, share)
         piece = (tx.mix(word) % pieces[context].astype(np.uint64)).astype(np.uint64)
         # A block asks all pieces of a context, also those in which it has no pair: by a pair without a count.
         cut = np.flatnonzero(pieces > 1)
@@ -206,7 +211,7 @@ class Pairs:
                 "block": block, "part": int(part), "context": _squeezed(self.contexts[own], "<u8"),
                 "total": _squeezed(self.totals[own], "<u8"), "width": _squeezed(width[h:g], "<u4"),
                 "word": _squeezed(self.word[a:b], "<u8"), "count": _squeezed(self.count[a:b], "<u4"),
-                "prior": _squeezed(self.prior[a:b], "<f2"),
+                "prior": _squeezed(self.prior[a:b], "<u1"),
             }
 
     def read(self, replies: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
@@ -217,8 +222,10 @@ class Pairs:
         by = self.context[self.header]
         entries = _every(replies, "entries", "<u4")
         sums = {"entries": np.bincount(by, entries, len(self.contexts))}
+        cut = self.pieces[by] > 1
         for k, kind in SUMS.items():
-            sums[k] = np.bincount(by[entries > 0], _every(replies, k, kind), len(self.contexts))
+            told = entries > 0 if k == "mass" else (entries > 0) & cut
+            sums[k] = np.bincount(by[told], _every(replies, k, kind), len(self.contexts))
         return found[: self.n], numbers[: self.n], sums
 
 
@@ -248,11 +255,11 @@ def _word_requests(row: dict, parts: int) -> Iterator[dict]:
         yield {
             "block": row["block"].as_py(), "part": int(part[a]), "context": words[a:b].tobytes(), "total": _squeezed(none, "<u8"),
             "width": _squeezed(none + 1, "<u4"), "word": _squeezed(none, "<u8"), "count": _squeezed(seen[a:b], "<u4"),
-            "prior": _squeezed(none, "<f2"),
+            "prior": _squeezed(none, "<u1"),
         }
 
 
-#: What is summed by context beside its entries, where it has any. The last two are rounded, for all blocks alike.
+#: What is summed by context beside its entries, where it has any; the last two only for contexts that are cut, rounded for all blocks alike.
 SUMS = {"mass": "<u8", "prior": "<f4", "gain": "<f4"}
 
 
@@ -277,7 +284,7 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
     total = np.concatenate([np.repeat(_released(t, "<u8"), w) for t, w in zip(asked.column("total"), widths)])
     word = np.concatenate([_released(x, "<u8") for x in asked.column("word")])
     count = np.concatenate([_released(x, "<u4") for x in asked.column("count")]).astype(np.int64)
-    prior = np.concatenate([_released(x, "<f2") for x in asked.column("prior")])
+    prior = np.concatenate([_released(x, "<u1") for x in asked.column("prior")])
     order = np.lexsort((word, context))
     context, word = context[order], word[order]
     new = np.ones(len(order), bool)
@@ -291,7 +298,7 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
     pair[order] = np.cumsum(new) - 1
 
     # What the test needs of a context: successors seen at least twice, and how much better it predicts them.
-    context, total, prior = context[first], total[order][first].astype(float), prior[order][first].astype(np.float64)
+    context, total, prior = context[first], total[order][first].astype(float), prior[order][first] / -8.0
     known = np.flatnonzero(np.diff(context, prepend=context[:1] + np.uint64(1)) != 0)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(seen, summed * (np.log(summed / total) - prior * np.log(2.0)), 0.0)
@@ -301,7 +308,8 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
     }
     sums = {k: np.add.reduceat(v, known) for k, v in sums.items()}
     sums |= {k: sums[k].astype("<f4") for k in ("prior", "gain")}
-    kept = hashed | (_pieces(total[known], share) > 1) | _retained(total[known], sums, shape.nats)
+    cut = (_pieces(total[known], share) > 1) & (not hashed)
+    kept = hashed | cut | _retained(total[known], sums, shape.nats)
     of = np.repeat(np.arange(len(known)), np.diff(known, append=len(context)))
     shown = np.where(kept[of] | named, summed, 0)
     sums["entries"] = np.where(kept, sums["entries"], 0)
@@ -314,7 +322,7 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
         out.append(
             {"block": block, "part": part, "count": _squeezed(shown[mine], "<u8"), "number": _squeezed(number[mine][named[mine]], "<u8")}
             | {"entries": _squeezed(entries, "<u4")}
-            | {name: _squeezed(sums[name][place[entries > 0]], kind) for name, kind in SUMS.items()}
+            | {name: _squeezed(sums[name][place[(entries > 0) & (cut[place] | (name == "mass"))]], kind) for name, kind in SUMS.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
         )
     return pa.Table.from_pylist(out, _arrow(REPLY))
@@ -360,16 +368,18 @@ class Walk:
         used, self.context = np.unique(context, return_inverse=True)
         self.totals = self.counts[used]
         prior = np.empty(len(key))
-        prior[self.which] = np.log2(self.p[self.at])
+        prior[self.which] = _eighths(self.p[self.at])
         count = np.bincount(self.which[self.trains[self.at] & (follows < n)], minlength=len(key))
         share = max(self.total, 1) / self.parts
-        return Pairs(self.context, self.numbers[used], self.totals, names, count, prior, self.parts, share)
+        pairs = Pairs(self.context, self.numbers[used], self.totals, names, count, prior, self.parts, share)
+        self.cut = pairs.pieces > 1
+        return pairs
 
     def down(self, counts: np.ndarray, numbers: np.ndarray, sums: dict[str, np.ndarray]) -> None:
-        """Retain contexts and refine the probabilities of their successors."""
+        """Retain contexts and refine the probabilities of their successors. Of contexts that are not cut, only the retained have entries."""
         self.numbers = numbers
         total, mass, entries = self.totals.astype(float), sums["mass"], sums["entries"]
-        retained = _retained(total, sums, self.shape.nats)
+        retained = np.where(self.cut, _retained(total, sums, self.shape.nats), entries > 0)
         own = self.context[self.which]
         seen = counts[self.which]
         direct = np.where(seen > 1, seen - self.shape.discount, 0.0) / total[own]
@@ -444,7 +454,6 @@ def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
     held = blocks.agg(F.sum("size").alias("n")).first()["n"] or 0
     parts = max(1, -(-held // PART))
     asked = blocks.select("block", "words", "seen").mapInArrow(_first_requests(parts), REQUEST)
-    blocks = blocks.drop("words", "seen")
     replies = None
     total = distinct = 0
     for d in range(shape.depth + 1):
@@ -453,11 +462,14 @@ def _score(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
         if d == 0:
             sums = answers.agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).first()
             total, distinct = sums["tokens"] or 0, sums["words"] or 0
+            # Nothing asks for hashes any more.
+            blocks = work.keep("slim", blocks.drop("words", "seen"))
+            work.drop("blocks")
         replies = answers if replies is None else replies.unionByName(answers)
         both = blocks.groupBy("block").cogroup(replies.drop("words", "tokens").groupBy("block"))
         if d < shape.depth:
             asked = both.applyInArrow(_with_replies(d + 1, total, distinct, parts, shape, _asking(d + 1)), REQUEST)
     scores = both.applyInArrow(_with_replies(shape.depth + 1, total, distinct, parts, shape, Walk.scores), SCORES)
     scores = work.keep("scores", scores)
-    work.drop("blocks", *[f"replies{d}" for d in range(shape.depth + 1)])
+    work.drop("slim", *[f"replies{d}" for d in range(shape.depth + 1)])
     return scores

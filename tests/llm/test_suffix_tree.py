@@ -45,7 +45,7 @@ class Tree:
             good = total >= self.shape.least and (len(context) == 1 or self.retained(context[1:]))
             seen = {w: c for w, c in self.next.get(context, {}).items() if c > 1}
             if good and seen:
-                before = {w: 2.0 ** float(np.float16(math.log2(self.p(context[1:], w)))) for w in seen}
+                before = {w: 2.0 ** (min(np.rint(-8 * math.log2(self.p(context[1:], w))), 255) / -8) for w in seen}
                 gain = sum(c * math.log(c / total / before[w]) for w, c in seen.items())
                 rest = total - sum(seen.values())
                 if rest:
