@@ -133,7 +133,7 @@ class Store:
         ledger.select(*[c.split(" ")[0] for c in LEDGER.split(", ")]).coalesce(1).write.mode("error").parquet(self.path(f"{LEDGERS}/{number:08d}"))
 
     def remove_unnamed(self, gone: set[tuple[str, str, str, str]]) -> None:
-        """Delete the partitions (query, load, version, scen) that the ledger no longer names, and older ledgers."""
+        """Delete the partitions (query, load, version, scen) that the ledger no longer names, what failed loads left, and older ledgers."""
         top = self.path(EXPORTS)
 
         def walk(path: str, left: set[tuple[str, ...]]) -> None:
@@ -145,9 +145,15 @@ class Store:
                 elif below:
                     walk(f"{path}/{child}", below)
 
+        last = self.last_load()
+        named = {tuple(r) for r in self.ledger().select("query", "load").distinct().collect()}
         for kind in folder_children(self.spark, top):
             walk(f"{top}/{kind}", gone)
-        last = self.last_load()
+            for query in folder_children(self.spark, f"{top}/{kind}"):
+                for load in folder_children(self.spark, f"{top}/{kind}/{query}"):
+                    label = load.partition("=")[2]
+                    if (unquote(query.partition("=")[2]), label) not in named and label[: len(_label(last))] <= _label(last):
+                        remove_folder(self.spark, f"{top}/{kind}/{query}/{load}")
         for name in folder_children(self.spark, self.path(LEDGERS)):
             if int(name) < last - 1:
                 remove_folder(self.spark, self.path(f"{LEDGERS}/{name}"))
@@ -200,7 +206,7 @@ def load_exports(
         gone = known.join(changed, UNIT, "left_semi").select("query", "load", "version", "scen").distinct()
         gone = {tuple(r) for r in gone.collect()}
         store.publish(ledger.join(changed, UNIT, "left_anti").unionByName(new))
-        if gone:
+        if gone or to_read:
             store.remove_unnamed(gone)
     finally:
         work.drop()

@@ -178,7 +178,8 @@ def _tables(spark, sf):
 
 
 def _whole(spark, sf):
-    return report.assemble(_tables(spark, sf), "MODEL")
+    """The written report in one scan, with the model's label."""
+    return report.assemble({"all": _written(spark, sf).drop("name")}, "MODEL")
 
 
 @query("report_assemble", f"SELECT DISTINCT 'MODEL' AS Model, {REPORT}, round(Value, 6) AS Value FROM ({_ALL})")
@@ -204,7 +205,7 @@ def report_missing_values(spark, sf):
 
 @query("report_table_rows", " UNION ALL ".join(f"SELECT {text(name)} AS name, count(*) AS n FROM {RESULT_OF[name]}" for name in report.TABLES))
 def report_table_rows(spark, sf):
-    return report.table_rows(_tables(spark, sf))
+    return _written(spark, sf).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("report_negative_values", "SELECT Scenario, Region, Item, Variable, Year, Unit, Value FROM r_quant WHERE Variable = 'NETT' AND Value < 0")

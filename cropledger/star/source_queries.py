@@ -85,6 +85,20 @@ def stored_table(spark, sf):
     return store.load("cells", versions=[VERSION], scens=["2-HIGH", "5-LOW"]).drop("version", "scen")
 
 
+@query("append_to_stored_set", "WITH c AS (SELECT scenario, region, year, sum(value) AS value FROM o_obs GROUP BY ALL) SELECT 'v1' AS version, scenario AS scen, region, year, value FROM c "
+       "WHERE scenario IN ('1-URGENT', '3-MEDIUM') UNION ALL SELECT 'v1', scenario, region, year, -value FROM c WHERE scenario = '2-HIGH' UNION ALL SELECT 'v2', scenario, region, year, value FROM c WHERE scenario = '2-HIGH'")
+def append_to_stored_set(spark, sf):
+    """A named set grows by saving more of it: partitions that come again replace theirs, the others stay."""
+    store = Store(spark, fresh_folder(spark))
+    cells = write_and_read_back(summed(spark, sf, value=F.col("value")).withColumnRenamed("scenario", "scen"), fresh_folder(spark))
+    high = cells.where(F.col("scen") == "2-HIGH")
+    more = [("v1", cells.where(F.col("scen").isin("1-URGENT", "2-HIGH"))), ("v1", high.withColumn("value", -F.col("value"))), ("v2", high),
+            ("v1", cells.where(F.col("scen") == "3-MEDIUM"))]
+    for version, rows in more:
+        store.save("cells", rows.withColumn("version", F.lit(version)), ["version", "scen"])
+    return store.load("cells")
+
+
 @query("dimension_from_csv", "SELECT region, count(*) AS n FROM o_obs JOIN nation ON n_name = region0 WHERE n_nationkey < 20 GROUP BY ALL")
 def dimension_from_csv(spark, sf):
     """A mapping file written from the nation table, read back with its key checked."""

@@ -217,6 +217,9 @@ def test_a_failed_load_leaves_the_tables_as_they_were(spark, tree, tmp_path, mon
     assert rows(store.load("prod")) == before
     assert load_exports(spark, tree, "proj", store) == ["prod"]
     assert store.load("prod", versions=["v1"], scens=["BAU"]).count() == 2
+    named = {(r["query"], r["load"]) for r in store.ledger().collect()}
+    left = {(p.parent.name[6:], p.name[5:]) for p in (tmp_path / "tables" / "exports").glob("kind=*/query=*/load=*")}
+    assert left <= named and ("prod", max(load for _, load in left)) in left
 
 
 def test_columns_that_differ_by_case_only(spark, tmp_path):
