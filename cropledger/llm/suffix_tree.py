@@ -58,6 +58,8 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 BLANK = np.array([tx.SPACE if b == 32 or 9 <= b <= 13 else tx.WORD for b in range(256)], np.uint8)
 END = np.uint64(0x51AFD7ED558CCD6D)
 PIECE = np.uint64(0xC4CEB9FE1A85EC53)
+#: Marks the number of a context that is cut. Others are told by the part they lie in and the rest of their number.
+CUT = np.uint64(1 << 62)
 
 BLOCKS = "block long, size long, ids array<long>, held binary, lengths binary, tokens binary, places binary, words binary, seen binary"
 REQUEST = "block long, part long, context binary, total binary, width binary, word binary, count binary, prior binary"
@@ -178,7 +180,8 @@ class Pairs:
     def __init__(self, context: np.ndarray, contexts: np.ndarray, totals: np.ndarray, word: np.ndarray, count: np.ndarray,
                  prior: np.ndarray, parts: int, share: float):
         """``context`` points into ``contexts``; a context with ``totals`` above ``share`` is cut into pieces."""
-        pieces = self.pieces = _pieces(totals, share)
+        self.parts, pieces = parts, _pieces(totals, share)
+        self.pieces = pieces
         piece = (tx.mix(word) % pieces[context].astype(np.uint64)).astype(np.uint64)
         # A block asks all pieces of a context, also those in which it has no pair: by a pair without a count.
         cut = np.flatnonzero(pieces > 1)
@@ -188,13 +191,17 @@ class Pairs:
         context = np.concatenate([context, extra])
         piece = np.concatenate([piece, number.astype(np.uint64)])
         blank = np.zeros(len(extra))
-        part = tx.mix(contexts[context] + piece * PIECE) % np.uint64(parts)
-        order = np.lexsort((context, part))
+        whole = np.uint64(parts)
+        part = np.where(pieces[context] > 1, tx.mix(contexts[context] + piece * PIECE), contexts[context]) % whole
+        word = np.concatenate([word, blank.astype(np.uint64)])
+        order = np.lexsort((word, context, part))
         part, self.context = part[order].astype(np.int64), context[order]
-        self.order, self.contexts, self.totals = order, contexts, totals
-        self.word = np.concatenate([word, blank.astype(np.uint64)])[order]
+        self.order, self.totals = order, totals
+        self.contexts = np.where(pieces > 1, contexts + CUT, contexts // whole)
+        self.word = word[order]
         self.count = np.concatenate([count, blank.astype(np.int64)])[order]
-        self.prior = np.concatenate([prior, blank])[order]
+        # Blocks that only hold a pair out of training leave its prior to others.
+        self.prior = np.where(self.count > 0, np.concatenate([prior, blank])[order], 0.0)
         new = np.diff(part, prepend=-1) != 0
         self.first = np.flatnonzero(new)
         self.part = part[self.first]
@@ -205,18 +212,20 @@ class Pairs:
         ends = np.append(self.first[1:], len(self.context))
         heads = np.searchsorted(self.header, self.first)
         width = np.diff(self.header, append=len(self.context))
+        step = np.diff(self.word, prepend=np.uint64(0))  # of words in ascending order within a context
+        step[self.header] = self.word[self.header]
         for part, a, b, h, g in zip(self.part, self.first, ends, heads, np.append(heads[1:], len(self.header))):
             own = self.context[self.header[h:g]]
             yield {
                 "block": block, "part": int(part), "context": _squeezed(self.contexts[own], "<u8"),
                 "total": _squeezed(self.totals[own], "<u8"), "width": _squeezed(width[h:g], "<u4"),
-                "word": _squeezed(self.word[a:b], "<u8"), "count": _squeezed(self.count[a:b], "<u4"),
+                "word": _squeezed(step[a:b], "<u8"), "count": _squeezed(self.count[a:b], "<u4"),
                 "prior": _squeezed(self.prior[a:b], "<u1"),
             }
 
     def read(self, replies: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
         """Totals and numbers of the pairs, and sums by context, from the replies of all parts."""
-        count, number = _counts(replies, least)
+        count, number = _counts(replies, least, self.parts)
         found, numbers = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
         found[self.order], numbers[self.order] = count, number
         by = self.context[self.header]
@@ -234,11 +243,14 @@ def _every(replies: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.concatenate([np.empty(0, kind), *[_released(x, kind) for x in replies.sort_by("part").column(name)]])
 
 
-def _counts(replies: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Totals and numbers of pairs; those below ``least`` have none."""
+def _counts(replies: pa.Table, least: float, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Totals and numbers of pairs; those below ``least`` have none. A number is a rank in a part, and the part."""
     count = _every(replies, "count", "<u8").astype(np.int64)
     number = np.zeros(len(count), np.uint64)
-    number[count >= least] = _every(replies, "number", "<u8")
+    own = replies.sort_by("part")
+    ranks = [_released(x, "<u8") for x in own.column("number")]
+    part = np.repeat(own.column("part").to_numpy(), [len(x) for x in ranks]).astype(np.uint64)
+    number[count >= least] = np.concatenate([np.empty(0, np.uint64), *ranks]) * np.uint64(parts) + part
     return count, number
 
 
@@ -282,7 +294,10 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
     widths = [_released(x, "<u4") for x in asked.column("width")]
     context = np.concatenate([np.repeat(c, w) for c, w in zip(contexts, widths)])
     total = np.concatenate([np.repeat(_released(t, "<u8"), w) for t, w in zip(asked.column("total"), widths)])
-    word = np.concatenate([_released(x, "<u8") for x in asked.column("word")])
+    word = np.cumsum(np.concatenate([_released(x, "<u8") for x in asked.column("word")]), dtype=np.uint64)
+    width = np.concatenate(widths)
+    start = np.cumsum(width) - width
+    word -= np.repeat(np.where(start > 0, word[start - 1], np.uint64(0)), width)
     count = np.concatenate([_released(x, "<u4") for x in asked.column("count")]).astype(np.int64)
     prior = np.concatenate([_released(x, "<u1") for x in asked.column("prior")])
     order = np.lexsort((word, context))
@@ -293,12 +308,12 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
     summed = np.add.reduceat(count[order], first)
     seen = summed > 1
     named = summed >= least
-    number = np.where(named, np.cumsum(named) * parts + part, 0)
+    rank = np.where(named, np.cumsum(named), 0)
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
 
     # What the test needs of a context: successors seen at least twice, and how much better it predicts them.
-    context, total, prior = context[first], total[order][first].astype(float), prior[order][first] / -8.0
+    context, total, prior = context[first], total[order][first].astype(float), np.maximum.reduceat(prior[order], first) / -8.0
     known = np.flatnonzero(np.diff(context, prepend=context[:1] + np.uint64(1)) != 0)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(seen, summed * (np.log(summed / total) - prior * np.log(2.0)), 0.0)
@@ -320,7 +335,7 @@ def _answer(part: int, asked: pa.Table, depth: int, parts: int, share: float, sh
         place = np.searchsorted(context[known], own)
         entries = sums["entries"][place]
         out.append(
-            {"block": block, "part": part, "count": _squeezed(shown[mine], "<u8"), "number": _squeezed(number[mine][named[mine]], "<u8")}
+            {"block": block, "part": part, "count": _squeezed(shown[mine], "<u8"), "number": _squeezed(rank[mine][named[mine]], "<u8")}
             | {"entries": _squeezed(entries, "<u4")}
             | {name: _squeezed(sums[name][place[(entries > 0) & (cut[place] | (name == "mass"))]], kind) for name, kind in SUMS.items()}
             | {"words": int((summed > 0).sum()) if k == 0 else None, "tokens": int(summed.sum()) if k == 0 else None}
@@ -348,7 +363,7 @@ class Walk:
 
     def begin(self, replies: pa.Table, total: int, distinct: int) -> None:
         """Single words, from the replies in the order of their hashes."""
-        counts, numbers = (x[self.places] for x in _counts(replies, 2))
+        counts, numbers = (x[self.places] for x in _counts(replies, 2, self.parts))
         self.total, self.known, self.names, self.numbers = total, counts, numbers, numbers
         self.base = (counts + PRIOR) / (total + PRIOR * (distinct + 1))
         self.p = self.base[self.word]
