@@ -36,6 +36,8 @@ SCHEMAS = {
     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
 
+ORDER_SCHEMA = "sc int, region_id int, year int, n double, price double"
+
 # Written cubes of this process by (application, tables, their files): loaded once, read by every indicator that follows.
 _CUBES: dict[tuple[str, str, tuple], str] = {}
 
@@ -111,24 +113,33 @@ class StarModel:
         """Line facts: integer label keys, quantity ``qty`` and line number ``ln``."""
         return self._once("lines", self._cube if self.staged else self._lines)
 
-    def _cube(self) -> DataFrame:
-        tables = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "customer")]
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, tuple(file_listing(self.spark, t) for t in tables))
+    def _kept(self, names: Sequence[str], cells: Callable[[], DataFrame], schema: str) -> DataFrame:
+        """Sums over bounded keys, written once per application for the tables they are made of."""
+        tables = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in names]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, tuple((t, file_listing(self.spark, t)) for t in tables))
         if key not in _CUBES:
             folder = fresh_folder(self.spark)
-            cells = self._lines().groupBy(*CUBE_KEYS).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
-            cells.write.parquet(folder)
+            cells().write.parquet(folder)
             _CUBES[key] = folder
-        return self.spark.read.schema(CUBE_SCHEMA).parquet(_CUBES[key])
+        return self.spark.read.schema(schema).parquet(_CUBES[key])
+
+    def _cube(self) -> DataFrame:
+        def cells():
+            return self._lines().groupBy(*CUBE_KEYS).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
+
+        return self._kept(("lineitem", "orders", "customer"), cells, CUBE_SCHEMA)
+
+    def _placed_orders(self) -> DataFrame:
+        return self.orders().groupBy("sc", "region_id", "year").agg(
+            F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.floor("o_totalprice")).cast("double").alias("price")
+        )
+
+    def _order_cube(self) -> DataFrame:
+        return self._kept(("orders", "customer"), self._placed_orders, ORDER_SCHEMA)
 
     def placed_orders(self) -> DataFrame:
         """Orders summed by scenario, region and year: count ``n`` and whole-currency price ``price``."""
-        return self._once(
-            "orders",
-            lambda: self.orders().groupBy("sc", "region_id", "year").agg(
-                F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.floor("o_totalprice")).cast("double").alias("price")
-            ),
-        )
+        return self._once("orders", self._order_cube if self.staged else self._placed_orders)
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._frames:

@@ -6,7 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cropledger.star.model import model_year, scenario_code
+from cropledger.plans import food, socio
+from cropledger.star.model import SCHEMAS, StarModel, model_year, scenario_code
 
 
 def test_known_years_and_scenarios(make):
@@ -24,3 +25,38 @@ def test_unknown_years_fail(make, year):
 def test_unknown_scenarios_fail(make, label):
     with pytest.raises(Exception, match="no scenario"):
         make("p string", [(label,)]).select(scenario_code(F.col("p"))).collect()
+
+
+def _star(make, folder):
+    """Customers, orders (one order repeated, one of no known customer) and line items."""
+    customers = [(1, "a", 0, 0.0, "m"), (2, "b", 7, 0.0, "m")]
+    first, later = dt.datetime(1995, 3, 1), dt.datetime(2001, 1, 1)
+    orders = [
+        (1, 1, "O", 10.75, first, "1-URGENT"), (1, 1, "O", 10.75, first, "1-URGENT"), (2, 1, "O", 5.5, later, "2-HIGH"),
+        (3, 2, "O", None, later, "2-HIGH"), (4, 9, "O", 99.0, first, "1-URGENT"),
+    ]
+    lines = [(n, 3 * n, n, 1, 2.0, 1.0, 0.0, 0.0, "N", "F", first) for n in (1, 2, 3)]
+    for name, given in {"customer": customers, "orders": orders, "lineitem": lines}.items():
+        make(SCHEMAS[name], given).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+
+
+def test_a_staged_model_reads_the_orders_once(spark, make, tmp_path):
+    _star(make, tmp_path)
+    want = [(0, 1, 2015, 2.0, 20.0), (1, 1, 2050, 1.0, 5.0), (1, 8, 2050, 1.0, None)]
+    columns = ["sc", "region_id", "year", "n", "price"]
+    assert rows(StarModel(spark, str(tmp_path)).placed_orders(), *columns) == want
+    staged = StarModel(spark, str(tmp_path), staged=True)
+    assert rows(staged.placed_orders(), *columns) == want
+    m = staged.inputs()
+    for build in (socio.gdp, socio.population, food.per_capita):
+        assert not [f for f in build(m).inputFiles() if str(tmp_path) in f]
+    again = StarModel(spark, str(tmp_path), staged=True).placed_orders()
+    assert again.inputFiles() == staged.placed_orders().inputFiles()
+
+
+def test_orders_written_anew_are_summed_anew(spark, make, tmp_path):
+    _star(make, tmp_path)
+    assert StarModel(spark, str(tmp_path), staged=True).placed_orders().count() == 3
+    order = [(1, 2, "O", 3.0, dt.datetime(1996, 1, 1), "5-LOW")]
+    make(SCHEMAS["orders"], order).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert rows(StarModel(spark, str(tmp_path), staged=True).placed_orders()) == [(4, 8, 2020, 1.0, 3.0)]
