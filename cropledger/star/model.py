@@ -113,6 +113,27 @@ class StarModel:
         """Line facts: integer label keys, quantity ``qty`` and line number ``ln``."""
         return self._once("lines", self._cube if self.staged else self._lines)
 
+    def by_source(self) -> DataFrame:
+        """Lines without irrigation and flag; where stages are kept, summed and written, as many query tables need no more.
+
+        Only for sums of the quantity alone or the line number alone: a sum of both skips a cell that lacks one of them.
+        """
+        return self._coarser("by_source", self.lines, "p", "s")
+
+    def by_leaf(self) -> DataFrame:
+        """``by_source`` without the source."""
+        return self._coarser("by_leaf", self.by_source, "p")
+
+    def _coarser(self, name: str, finer: Callable[[], DataFrame], *keys: str) -> DataFrame:
+        if not self.keep_stages:
+            return self.lines()
+
+        def build():
+            cells = finer().groupBy("sc", "region_id", "year", *keys).agg(F.sum("qty").alias("qty"), F.sum("ln").alias("ln"))
+            return write_and_read_back(cells, fresh_folder(self.spark))
+
+        return self._once(name, build)
+
     def _kept(self, names: Sequence[str], cells: Callable[[], DataFrame], schema: str) -> DataFrame:
         """Sums over bounded keys, written once per application for the tables they are made of."""
         tables = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in names]
@@ -156,9 +177,12 @@ class StarModel:
         named = strict_lookup(df, self.dims.region_ids, "region_id", ["region"], unique=True, what="region ids")
         return named.withColumn("scenario", pick(lb.SCENARIOS, F.col("sc"))).drop("sc", "region_id")
 
-    def _sum(self, value: str | Column = "qty", where: Column | None = None, **keys: Column) -> DataFrame:
+    def _sum(
+        self, value: str | Column = "qty", where: Column | None = None, lines: DataFrame | None = None, **keys: Column
+    ) -> DataFrame:
         """Sum of lines by scenario, region, year and integer keys, with scenario and region labelled."""
-        lines = self.lines() if where is None else self.lines().where(where)
+        lines = self.lines() if lines is None else lines
+        lines = lines if where is None else lines.where(where)
         summed = lines.groupBy("sc", "region_id", "year", *[k.alias(n) for n, k in keys.items()])
         return self._label(summed.agg(F.sum(value).alias("value")))
 
@@ -182,7 +206,7 @@ class StarModel:
         return self._by_code().select("scenario", "region", F.col("code").alias("LandLeaf"), "year", "value")
 
     def _t_Aggland(self):
-        return self._sum(p=F.col("p")).withColumn("LandLeaf", pick(lb.LEAVES, F.col("p"))).drop("p")
+        return self._sum(lines=self.by_leaf(), p=F.col("p")).withColumn("LandLeaf", pick(lb.LEAVES, F.col("p"))).drop("p")
 
     def _t_Agprod(self):
         crop = pick(lb.CROP_OF_LEAF, F.col("p"))
@@ -193,18 +217,18 @@ class StarModel:
         )
 
     def _t_AgBal(self):
-        rows = self._sum(use=F.col("s") % 6, c=F.col("p") % lb.N_COMMODITIES, energy=F.col("s") == 11)
+        rows = self._sum(lines=self.by_source(), use=F.col("s") % 6, c=F.col("p") % lb.N_COMMODITIES, energy=F.col("s") == 11)
         return rows.select(
             "scenario", "region", pick(lb.USES, F.col("use")).alias("sector"), pick(lb.SECTORS, F.col("c")).alias("input"),
             "year", F.when(F.col("energy"), F.lit("EJ")).otherwise(F.lit("Mt")).alias("Units"), "value",
         )
 
     def _stock(self, flag: str):
-        return self._by_name(lb.SECTORS, "sector", where=F.col("flag") == flag)
+        return self._by_name(lb.SECTORS, "sector", lines=self.lines().where(F.col("flag") == flag))
 
-    def _by_name(self, names: Sequence[str], column: str, value: str | Column = "qty", where: Column | None = None):
+    def _by_name(self, names: Sequence[str], column: str, value: str | Column = "qty", lines: DataFrame | None = None):
         """Sum by a label dealt out over part keys."""
-        rows = self._sum(value, where, c=F.col("p") % len(names))
+        rows = self._sum(value, lines=self.by_leaf() if lines is None else lines, c=F.col("p") % len(names))
         return rows.withColumn(column, pick(names, F.col("c"))).drop("c")
 
     def _t_AgStorageClose(self):
@@ -234,13 +258,14 @@ class StarModel:
         )
 
     def _t_MeatProd(self):
-        rows = self._sum(c=F.col("p") % len(lb.MEATS), live=F.col("s") == 11)
+        rows = self._sum(lines=self.by_source(), c=F.col("p") % len(lb.MEATS), live=F.col("s") == 11)
         units = F.when(F.col("live"), F.lit("head")).otherwise(F.lit("Mt"))
         return rows.select("scenario", "region", pick(lb.MEATS, F.col("c")).alias("sector"), "year", units.alias("Units"), "value")
 
     def _t_Agprices(self):
         crop = pick(lb.CROP_OF_LEAF, F.col("p"))
-        return self._sum(F.col("ln") / 8, crop.isNotNull(), c=crop).withColumn("sector", pick(lb.CROPS, F.col("c"))).drop("c")
+        rows = self._sum(F.col("ln") / 8, crop.isNotNull(), self.by_leaf(), c=crop)
+        return rows.withColumn("sector", pick(lb.CROPS, F.col("c"))).drop("c")
 
     def _t_Meatprices(self):
         return self._by_name(lb.MEATS, "sector", F.col("ln") / 8)
@@ -252,14 +277,14 @@ class StarModel:
         return self._by_name(lb.FOODS, "technology", "ln")
 
     def _t_LaborWage(self):
-        return self._sum(F.col("ln") / 16).withColumn("market", F.concat("region", F.lit("Labor_Ag"))).drop("region")
+        return self._sum(F.col("ln") / 16, lines=self.by_leaf()).withColumn("market", F.concat("region", F.lit("Labor_Ag"))).drop("region")
 
     def _t_LaborInputSector(self):
         return self._by_name(lb.COMMODITIES, "sector", F.col("qty") / 64)
 
     def _t_CO2Price(self):
         priced = F.col("sc").isin([lb.SCENARIOS.index(x) for x in ("ELM", "EL2")])
-        return self._sum(F.col("ln") / 16, priced).withColumn("market", F.concat("region", F.lit("CO2"))).drop("region")
+        return self._sum(F.col("ln") / 16, priced, self.by_leaf()).withColumn("market", F.concat("region", F.lit("CO2"))).drop("region")
 
     def _t_NCEM(self):
         rows = self._sum(F.col("qty") + F.col("ln"), s=F.col("s"))
@@ -267,7 +292,8 @@ class StarModel:
 
     def _t_NCEM_sector(self):
         farm = F.col("s").isin([lb.GASES.index(g) for g in lb.FARM_GASES])
-        rows = self._sum(s=F.col("s"), c=F.when(farm, F.col("p") % len(lb.FOODS)).otherwise(F.col("p") % len(lb.OTHER_SECTORS)))
+        c = F.when(farm, F.col("p") % len(lb.FOODS)).otherwise(F.col("p") % len(lb.OTHER_SECTORS))
+        rows = self._sum(lines=self.by_source(), s=F.col("s"), c=c)
         sector = F.when(farm, pick(lb.FOODS, F.col("c"))).otherwise(pick(lb.OTHER_SECTORS, F.col("c")))
         return rows.select(
             "scenario", "region", pick(lb.GASES, F.col("s")).alias("GHG"), sector.alias("sector"), F.lit("MTC").alias("Units"),
@@ -275,10 +301,10 @@ class StarModel:
         )
 
     def _t_CLUC(self):
-        return self._sum("ln").withColumn("Units", F.lit("MTC"))
+        return self._sum("ln", lines=self.by_leaf()).withColumn("Units", F.lit("MTC"))
 
     def _t_Water_Wsector(self):
-        rows = self._sum(c=F.when(F.col("s") != 0, F.col("p") % lb.N_COMMODITIES))
+        rows = self._sum(lines=self.by_source(), c=F.when(F.col("s") != 0, F.col("p") % lb.N_COMMODITIES))
         return rows.withColumn("sector", F.coalesce(pick(lb.COMMODITIES, F.col("c")), F.lit("industry"))).drop("c")
 
     def _t_FertizerUse(self):
@@ -316,7 +342,7 @@ class StarModel:
         return sums.unpivot(["region", "irr", "crop", "year"], ["nocc", "rcp7p0"], "scenario", "value")
 
     def _t_waste_share(self):
-        seen = self.lines().select("region_id", (F.col("p") % len(lb.FOODS)).alias("c"), "year").distinct()
+        seen = self.by_leaf().select("region_id", (F.col("p") % len(lb.FOODS)).alias("c"), "year").distinct()
         share = (1 + F.col("c") % 4) / F.lit(16.0)
         return self._named(seen).select(
             "region", pick(lb.FOODS, F.col("c")).alias("commodity"), "year", share.alias("waste_share"), (share / 2).alias("half_waste")
@@ -332,7 +358,7 @@ class StarModel:
         )
 
     def _t_labour_force(self):
-        sums = self.lines().groupBy("region_id", "year").agg(F.sum("qty").alias("ssp2"), F.sum(F.col("qty") * 2).alias("ssp1"))
+        sums = self.by_leaf().groupBy("region_id", "year").agg(F.sum("qty").alias("ssp2"), F.sum(F.col("qty") * 2).alias("ssp1"))
         return sums.unpivot(["region_id", "year"], ["ssp2", "ssp1"], "scenario", "value")
 
     # -- inputs --------------------------------------------------------------------------------

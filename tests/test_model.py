@@ -60,3 +60,24 @@ def test_orders_written_anew_are_summed_anew(spark, make, tmp_path):
     order = [(1, 2, "O", 3.0, dt.datetime(1996, 1, 1), "5-LOW")]
     make(SCHEMAS["orders"], order).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     assert rows(StarModel(spark, str(tmp_path), staged=True).placed_orders()) == [(4, 8, 2020, 1.0, 3.0)]
+
+
+COARSE = ["Aggland", "AgBal", "MeatProd", "Agprices", "Fooddemand", "FooddemandExo", "LaborWage", "LaborInputSector", "NCEM_sector",
+          "CLUC", "Water_Wsector", "waste_share", "labour_force"]
+
+
+def test_coarser_sums_give_the_same_tables(spark, make, tmp_path):
+    _star(make, tmp_path)
+    first = dt.datetime(1995, 3, 1)
+    lines = [
+        (o, part, supp, number, quantity, 1.0, 0.0, 0.0, flag, status, first)
+        for o, part in ((1, 3), (2, 64), (3, None)) for supp in (11, 10, None)
+        for number, quantity in ((1, 2.0), (None, 4.0), (3, None)) for flag, status in (("N", "F"), (None, "O"), ("A", None))
+    ]
+    make(SCHEMAS["lineitem"], lines + lines[:5]).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    plain, kept = (StarModel(spark, str(tmp_path), staged=True, keep_stages=keep) for keep in (False, True))
+    fine = set(kept.lines().inputFiles())
+    for name in [*COARSE, "NCEM", "exogenous_yield", "uncovered_calories"]:
+        table = kept.table(name)
+        assert rows(table) == rows(plain.table(name)), name
+        assert name not in COARSE or not fine & set(table.inputFiles()), name
