@@ -91,6 +91,11 @@ def without_shared(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return kept
 
 
+def rows_without_shared(rows: DataFrame) -> DataFrame:
+    """``without_shared`` on all tables of a report under one another, whose rows bear the ``name`` of their table: one scan."""
+    return rows.where((F.col("name") != "land_cover") | (F.col("Variable") != "AREA"))
+
+
 def repeated_keys(report: DataFrame) -> DataFrame:
     """Report keys that occur more than once."""
     return report.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

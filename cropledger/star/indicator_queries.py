@@ -171,20 +171,19 @@ def _written(spark, sf):
     return _WRITTEN[key]
 
 
-def _tables(spark, sf):
-    """The written report by table."""
-    rows = _written(spark, sf)
-    return {name: rows.where(F.col("name") == name).drop("name") for name in report.TABLES}
-
-
 def _whole(spark, sf):
     """The written report in one scan, with the model's label."""
     return report.assemble({"all": _written(spark, sf).drop("name")}, "MODEL")
 
 
+def _published(spark, sf):
+    """``_whole`` without the rows that two tables share."""
+    return report.assemble({"all": report.rows_without_shared(_written(spark, sf)).drop("name")}, "MODEL")
+
+
 @query("report_assemble", f"SELECT DISTINCT 'MODEL' AS Model, {REPORT}, round(Value, 6) AS Value FROM ({_ALL})")
 def report_assemble(spark, sf):
-    return rounded(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"))
+    return rounded(_published(spark, sf))
 
 
 @query("report_duplicate_keys", f"SELECT {REPORT}, count(*) AS n FROM ({_ALL}) GROUP BY ALL HAVING count(*) > 1")
@@ -252,7 +251,7 @@ def report_probes(spark, sf):
 def report_export_sorted(spark, sf):
     """All tables as one sorted file, written by many tasks and read back."""
     path = f"{fresh_folder(spark)}/report.csv"
-    report.write_report(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"), path, single_file=True)
+    report.write_report(_published(spark, sf), path, single_file=True)
     schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
     return rounded(read_auxiliary(spark, path, schema))
 
@@ -261,7 +260,7 @@ def report_export_sorted(spark, sf):
 def report_export_csv(spark, sf):
     """All tables exported and read back."""
     path = f"{fresh_folder(spark)}/report.csv"
-    report.write_report(report.assemble(report.without_shared(_tables(spark, sf)), "MODEL"), path)
+    report.write_report(_published(spark, sf), path)
     schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
     return rounded(read_auxiliary(spark, path, schema))
 

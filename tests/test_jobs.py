@@ -5,10 +5,12 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_indicators import LEVELS, TABLES
 
 from cropledger import jobs
+from cropledger.operators.reshape import union_all
 from cropledger.plans import report
 from cropledger.plans.inputs import AUXILIARY
 from cropledger.sources.store import Store
@@ -106,3 +108,16 @@ def test_shared_rows_are_told_by_table_not_by_bits(make):
     assert whole.count() == 4  # the two real rows stay, the energy-crop row comes once
     assert rows(report.repeated_keys(whole), "Item", "n") == [("WHT", 2)]
     assert report.assemble(report.without_shared({"land_cover": cover}), "M").count() == 2
+
+
+def test_shared_rows_leave_a_written_report_in_one_scan(spark, make, tmp_path):
+    schema = "Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
+    row = ("BAU", "USA", "ECP", "AREA", 2015, "1000 ha", 1.0)
+    cover = [row, ("BAU", "USA", "TOT", "LAND", 2015, "1000 ha", 1.0)]
+    tables = {"area": make(schema, [row, row]), "land_cover": make(schema, cover), "water": make(schema, [row])}
+    labelled = [df.withColumn("name", F.lit(name)) for name, df in tables.items()]
+    union_all(labelled).write.parquet(str(tmp_path / "report"))
+    written = spark.read.parquet(str(tmp_path / "report"))
+    whole = report.rows_without_shared(written)
+    assert rows(whole.drop("name")) == rows(union_all(list(report.without_shared(tables).values())))
+    assert whole._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
